@@ -136,8 +136,16 @@ def clean_tokens(
 
 
 def _model_letters(c: Column) -> Column:
-    text = F.regexp_replace(F.lower(c), rf"http[^{SPACE}]+|www[^{SPACE}]+", "")
-    text = F.regexp_replace(text, r"<[^\n]*?>", "")
+    # Most texts have neither a URL nor a tag: a substring test, far cheaper than
+    # a regex pass, decides whether the pass is needed.
+    text = F.lower(c)
+    has_url = text.contains("http") | text.contains("www")
+    no_url = F.regexp_replace(text, rf"http[^{SPACE}]+|www[^{SPACE}]+", "")
+    text = F.when(has_url, no_url).otherwise(text)
+    # An opening bracket that is never closed is matched to the end of its line and
+    # put back as group 1, which keeps texts full of such brackets linear.
+    no_tag = F.regexp_replace(text, r"<[^\n>]*>|(<[^\n>]*)", "$1")
+    text = F.when(text.contains("<"), no_tag).otherwise(text)
     text = F.regexp_replace(text, rf"[^a-z{SPACE}]+", "")
     return F.regexp_replace(text, r"[^a-z]+", " ")
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from labeltext.constants import SPLIT_SEED, STOP_WORDS, SVD_COMPONENTS, VALIDATION_SHARE
 from labeltext.functions import text as tx
+from labeltext.operators.topk import top_k
 from labeltext.session import broadcast_bounded
 
 #: Vocabularies and projection matrices pass through the driver and to every
@@ -75,15 +76,42 @@ def split_threshold(frac: float) -> str:
 
 def vocabulary_list(vocab: DataFrame, term: str = "term") -> list[str]:
     """The terms of a vocabulary table on the driver, checked, in alphabetical order."""
-    size = vocab.agg(
-        F.count(F.lit(1)).alias("terms"), F.coalesce(F.sum(F.length(term)), F.lit(0)).alias("chars")
-    ).first()
-    if size["terms"] > MAX_VOCABULARY_TERMS or size["chars"] > MAX_VOCABULARY_CHARS:
+    rows = vocab.select(term).limit(MAX_VOCABULARY_TERMS + 1).collect()
+    return sorted(_checked_terms([row[0] for row in rows]))
+
+
+def _checked_terms(terms: list[str]) -> list[str]:
+    if len(terms) > MAX_VOCABULARY_TERMS or sum(map(len, terms)) > MAX_VOCABULARY_CHARS:
         raise ValueError(
-            f"the vocabulary has {size['terms']} terms ({size['chars']} characters); "
-            "vectors need a smaller max_features, or use tfidf_table"
+            f"the vocabulary has more than {MAX_VOCABULARY_TERMS} terms or "
+            f"{MAX_VOCABULARY_CHARS} characters; set max_features, or use tfidf_table"
         )
-    return sorted(row[0] for row in vocab.select(term).collect())
+    return terms
+
+
+def fit_idf(
+    df: DataFrame,
+    id_col: str,
+    text: str,
+    max_features: int | None,
+    stop_words: Iterable[str] = (),
+) -> tuple[list[str], list[float]]:
+    """Vocabulary in alphabetical order and ``ln((1 + texts) / (1 + df)) + 1`` for it.
+
+    One pass over the texts gives both the total count a term is ranked by and
+    the number of texts it occurs in.
+    """
+    terms = (
+        document_terms(df, id_col, text, stop_words)
+        .groupBy("term")
+        .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("df"))
+    )
+    keep = MAX_VOCABULARY_TERMS + 1 if max_features is None else max_features
+    best = top_k(terms, [F.desc("n"), F.asc("term")], keep).select("term", "df")
+    frequency = dict(best.collect())
+    vocab = sorted(_checked_terms(list(frequency)))
+    n_texts = df.count()
+    return vocab, [float(np.log((1 + n_texts) / (1 + frequency[t])) + 1) for t in vocab]
 
 
 def count_vectors(
@@ -148,6 +176,7 @@ def document_frequency(
     tokens = tx.remove_stop_words(tx.tokenize_words(F.col(text)), stop_words)
     return (
         df.select(F.explode(F.array_distinct(tokens)).alias("term"))
+        .filter(F.col("term").isNotNull())  # as a join adds it, so the exchange is shared
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"))
     )
@@ -192,17 +221,6 @@ def tfidf_table(
     return weighted.select(id_col, "term", (F.col("w") / norm).alias("weight"))
 
 
-def idf_weights(
-    df: DataFrame, vocab: Sequence[str], text: str, stop_words: Iterable[str] = ()
-) -> list[float]:
-    """``ln((1 + texts) / (1 + df)) + 1`` for each term of ``vocab``, in its order."""
-    terms = df.sparkSession.createDataFrame(list(enumerate(vocab)), "idx int, term string")
-    n_texts = df.count()
-    rows = document_frequency(df, text, stop_words).join(terms, "term").select("idx", "df")
-    seen = dict(rows.collect())
-    return [float(np.log((1 + n_texts) / (1 + seen.get(i, 0))) + 1) for i in range(len(vocab))]
-
-
 def tfidf_stages(
     vocab: Sequence[str], weights: Sequence[float], tokens: str, out: str = "features"
 ) -> list:

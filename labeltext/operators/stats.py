@@ -112,17 +112,21 @@ def class_tfidf(
 
     Term counts per class add up, so the class documents are never built. The
     weight is ``n * (ln((1 + classes) / (1 + df)) + 1)``, L2-normalised per class.
+    A term carries its class counts along as an array (one entry per class), so
+    the texts are read once and nothing is joined.
     """
-    counts = term_counts(df, label, text, stop_words)
-    stats = counts.groupBy("term").agg(
-        F.sum("n").alias("total"), F.count(F.lit(1)).alias("df")
+    cells = F.collect_list(F.struct(label, "n"))
+    terms = (
+        term_counts(df, label, text, stop_words)
+        .groupBy("term")
+        .agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("df"), cells.alias("cells"))
     )
-    vocab = top_k(stats, [F.desc("total"), F.asc("term")], max_features).select("term", "df")
+    vocab = top_k(terms, [F.desc("total"), F.asc("term")], max_features)
     n_classes = df.agg(F.count_distinct(label)).scalar()
     idf = F.log((F.lit(1.0) + n_classes) / (F.lit(1.0) + F.col("df"))) + 1.0
-    # Both sides are aggregates; AQE turns this into a broadcast join once it
-    # has measured the vocabulary, and keeps a shuffle join otherwise.
-    weights = counts.join(vocab, "term").withColumn("w", F.col("n") * idf)
+    weights = vocab.select("term", idf.alias("idf"), F.inline("cells")).select(
+        label, "term", (F.col("n") * F.col("idf")).alias("w")
+    )
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(label)))
     scored = weights.select(label, "term", F.round(F.col("w") / norm, 9).alias("score"))
     return top_k_per_group(scored, label, [F.desc("score"), F.asc("term")], k)

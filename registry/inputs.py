@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from labeltext.session import spread
+
 #: A four-letter code from language, length, source and a hash of the text.
 CODE = (
     "(case when lang = 'en' then 'I' else 'E' end"
@@ -37,23 +39,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A text table, spread over all cores if it is small."""
+    return spread(table(spark, sf_dir, name), key)
+
+
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as raw posts."""
-    return table(spark, sf_dir, "documents").selectExpr(
+    return texts(spark, sf_dir, "documents", "doc_id").selectExpr(
         "doc_id AS row_id", f"{FLAIR} AS author_flair_text", "text AS body"
     )
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as training corpus, code as class."""
-    return table(spark, sf_dir, "documents").selectExpr(
+    return texts(spark, sf_dir, "documents", "doc_id").selectExpr(
         "doc_id", f"{CODE} AS type", "text AS posts"
     )
 
 
 def by_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as training corpus, language as class."""
-    return table(spark, sf_dir, "documents").selectExpr(
+    return texts(spark, sf_dir, "documents", "doc_id").selectExpr(
         "doc_id", "lang AS type", "text AS posts"
     )
 

@@ -24,6 +24,7 @@ from registry.inputs import (
     posts,
     predictions,
     table,
+    texts,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,7 +41,7 @@ def query(fn: Query) -> Query:
 @query
 def csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "csv")
-    raw = table(spark, sf_dir, "documents").selectExpr(
+    raw = texts(spark, sf_dir, "documents", "doc_id").selectExpr(
         "doc_id", "source AS author_flair_text", "text AS body"
     )
     write_corpus(raw, path)
@@ -78,7 +79,7 @@ def drop_mentions(spark, sf_dir):
 @query
 def drop_blank(spark, sf_dir):
     # Text without its letters: some rows are left with white space only.
-    bare = table(spark, sf_dir, "documents").select(
+    bare = texts(spark, sf_dir, "documents", "doc_id").select(
         "doc_id", F.regexp_replace("text", r"[\p{L}\p{N}.,|]", "").alias("rest")
     )
     return filters.drop_blank(bare, "rest")
@@ -86,13 +87,13 @@ def drop_blank(spark, sf_dir):
 
 @query
 def word_count(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = texts(spark, sf_dir, "documents", "doc_id")
     return docs.select("doc_id", tx.word_count(F.col("text")).alias("words"))
 
 
 @query
 def filter_word_range(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = texts(spark, sf_dir, "documents", "doc_id")
     return filters.filter_word_range(docs, "text").select("doc_id", "n_chars")
 
 
@@ -115,7 +116,7 @@ def prepare_corpus(spark, sf_dir):
 
 @query
 def prepare_corpus_pages(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select(
+    pages = texts(spark, sf_dir, "pages", "page_id").select(
         F.col("page_id").alias("row_id"),
         F.concat(F.lit("istp "), F.col("url")).alias("author_flair_text"),
         F.col("html").alias("body"),
@@ -152,25 +153,25 @@ def build_vocab(spark, sf_dir):
 
 @query
 def clean_basic(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages")
+    pages = texts(spark, sf_dir, "pages", "page_id")
     return pages.select("page_id", tx.clean_text(F.col("html"), "basic").alias("cleaned"))
 
 
 @query
 def clean_parallel(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = texts(spark, sf_dir, "documents", "doc_id")
     return docs.select("doc_id", tx.clean_text(F.col("text"), "parallel").alias("cleaned"))
 
 
 @query
 def clean_model(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = texts(spark, sf_dir, "documents", "doc_id")
     return docs.select("doc_id", tx.clean_text(F.col("text"), "model").alias("cleaned"))
 
 
 @query
 def clean_model_pages(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages")
+    pages = texts(spark, sf_dir, "pages", "page_id")
     text = F.concat_ws(" ", "url", "html")
     return pages.select("page_id", tx.clean_text(text, "model").alias("cleaned"))
 
@@ -185,7 +186,7 @@ def remove_stop_words(spark, sf_dir):
 
 @query
 def unescape_html(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages")
+    pages = texts(spark, sf_dir, "pages", "page_id")
     return pages.select("page_id", tx.unescape_html(F.col("html")).alias("decoded"))
 
 
@@ -200,7 +201,7 @@ def tokenize_words(spark, sf_dir):
 @query
 def tokenize_keras(spark, sf_dir):
     tokens = tx.tokenize_keras(F.concat_ws("'", "url", "html"))
-    return table(spark, sf_dir, "pages").select(
+    return texts(spark, sf_dir, "pages", "page_id").select(
         "page_id", F.size(tokens).alias("n"), F.array_join(tokens, " ").alias("tokens")
     )
 
