@@ -91,7 +91,7 @@ def test_plan_has_one_text_shuffle_and_no_python(posts):
     assert p.count("Exchange") == 1
     assert "SortAggregate" not in p and "Python" not in p and "HashAggregate" in p
     # the cleaning chain is evaluated once
-    assert p.count("(?=[") == plan(posts.filter(tx.mentions(F.col("body"), ["A"]))).count("(?=[") + 2
+    assert p.count(r"\1{2,}") == 1
     assert plan(prepare_corpus(posts)).count("Exchange") == 2
 
 
