@@ -188,18 +188,34 @@ def mutual_information(
     return scored if k is None else top_k(scored, [F.desc("mi"), F.asc("term")], k)
 
 
+def concat_parts(
+    df: DataFrame, group: str, col: str, order: str, sep: str = " ", out: str = "text",
+    rows_per_part: int = 1000,
+) -> DataFrame:
+    """Texts of a group joined in order, in bounded pieces ``(group, part, text)``.
+
+    ``order`` is an integer, unique within the group, so a part holds at most
+    ``rows_per_part`` texts however large the group is. Parts in order give the
+    whole text.
+    """
+    part = F.floor(F.col(order) / F.lit(rows_per_part)).alias("part")
+    texts = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(col).alias("t"))))
+    joined = F.array_join(F.transform(texts, lambda p: p["t"]), sep)
+    return df.groupBy(group, part).agg(joined.alias(out))
+
+
 def concat_by_group(
-    df: DataFrame, group: str, col: str, order: str, sep: str = " ", out: str = "text"
+    df: DataFrame, group: str, col: str, order: str, sep: str = " ", out: str = "text",
+    rows_per_part: int = 1000,
 ) -> DataFrame:
-    """Texts of a group joined in order.
+    """Texts of a group joined in order into one string.
 
-    The result holds a whole group in one string by definition. Use it for
-    groups of bounded size (a conversation); class-level statistics above do
-    without it.
+    The pieces of :func:`concat_parts` are joined, so a large group is sorted in
+    many small parts. The one string per group is the result asked for; where it
+    may not fit a row, use the pieces. Class statistics do without either.
     """
-    parts = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(col).alias("t"))))
-    joined = F.array_join(F.transform(parts, lambda p: p["t"]), sep)
-    return df.groupBy(group).agg(joined.alias(out))
+    parts = concat_parts(df, group, col, order, sep, "_t", rows_per_part)
+    return concat_parts(parts, group, "_t", "part", sep, out, 1 << 62).drop("part")
 
 
 def class_weights(df: DataFrame, label: str = "type") -> DataFrame:

@@ -18,10 +18,9 @@ def _read(
 ) -> DataFrame:
     reader = spark.read
     if fmt == "csv":
-        # Without enforceSchema the file header decides which column is which,
-        # so it is read first and every field taken as text.
-        header = reader.options(**CSV_OPTIONS).csv(path)
-        df = header
+        # Columns are found by the header's names and read as text; only the
+        # header line is looked at beforehand, nothing is inferred from data.
+        df = reader.options(**CSV_OPTIONS).csv(path)
     else:
         df = reader.format(fmt).load(path)
     row_id = F.col(id_from).cast("long") if id_from else F.monotonically_increasing_id()

@@ -268,7 +268,7 @@ def class_weights(spark, sf_dir):
 @query
 def tfidf_table(spark, sf_dir):
     t = features.tfidf_table(corpus(spark, sf_dir))
-    return t.withColumn("weight", F.round("weight", 9))
+    return t.withColumn("weight", F.round("weight", 6))
 
 
 @query

@@ -269,7 +269,7 @@ ORACLE: dict[str, str] = {
         freq as (select term, count(*) as df from counts group by term),
         weights as (select doc_id, term, n * (ln((1.0 + (select count(*) from documents))
             / (1.0 + df)) + 1) as w from counts join freq using (term))
-        select doc_id, term, round(w / sqrt(sum(w * w) over (partition by doc_id)), 9) as weight
+        select doc_id, term, round(w / sqrt(sum(w * w) over (partition by doc_id)), 6) as weight
         from weights""",
     "count_vectors": f"""with {TOKENS},
         top as (select term from tokens group by term order by count(*) desc, term limit 1000),

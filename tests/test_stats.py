@@ -86,6 +86,15 @@ def test_concat_by_group(spark):
     assert {r.g: r.text for r in stats.concat_by_group(df, "g", "t", "o").collect()} == {1: "a b", 2: "c"}
 
 
+def test_concat_of_a_hot_group_goes_by_parts(spark):
+    df = spark.range(1000).selectExpr("0 as g", "id as o", "cast(id as string) as t").repartition(8)
+    want = [" ".join(map(str, range(i, i + 100))) for i in range(0, 1000, 100)]
+    parts = stats.concat_parts(df, "g", "t", "o", rows_per_part=100).orderBy("part").collect()
+    assert [r.text for r in parts] == want
+    whole = stats.concat_by_group(df, "g", "t", "o", rows_per_part=100).first()
+    assert whole.text == " ".join(want)
+
+
 def test_class_weights_sum_to_the_rows(corpus):
     rows = stats.class_weights(corpus).collect()
     assert sum(r.n * r.weight for r in rows) == pytest.approx(len(ROWS))
