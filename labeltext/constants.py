@@ -67,5 +67,12 @@ SVD_COMPONENTS = 300
 LOW_CONFIDENCE, ALTERNATIVES_K = 70.0, 3
 LOG_LOSS_EPSILON = 1e-10
 
+# --- Fixed values: every white-space character --------------------------------
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
 # --- Fixed values: characters replaced by a space by the sequence tokenizer --
 SEQUENCE_FILTERS = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~\t\n'

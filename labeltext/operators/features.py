@@ -7,8 +7,9 @@ from collections.abc import Iterable, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
+from pyspark.ml.stat import Summarizer
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, Window
@@ -24,8 +25,10 @@ from labeltext.session import broadcast_bounded
 MAX_VOCABULARY_TERMS = 1 << 20
 MAX_VOCABULARY_CHARS = 64 << 20
 MAX_MATRIX_CELLS = 64 << 20
-#: Up to this many columns the Gram matrix route is used for the SVD.
+#: Up to this many columns the SVD solves the Gram matrix; above, it is randomised
+#: with this many extra directions and power passes.
 GRAM_COLUMNS = 4096
+SVD_OVERSAMPLE, SVD_PASSES = 10, 5
 #: Terms whose document frequency is broadcast; see ``tfidf_table``.
 HOT_TERMS = 10_000
 
@@ -241,28 +244,67 @@ def tfidf_stages(
 # --- truncated SVD ------------------------------------------------------------
 
 class TruncatedSvd:
-    """Project vectors on the first ``k`` right singular vectors, not centred."""
+    """Project vectors on the first ``k`` right singular vectors, not centred.
 
-    def __init__(self, k: int = SVD_COMPONENTS, col: str = "features", out: str = "svd"):
-        self.k, self.col, self.out = k, col, out
+    Few columns: one pass for the Gram matrix, solved exactly. Many columns: a
+    randomised range finder, whose passes only sum (columns x k) blocks, so its
+    cost does not grow with the square of the vocabulary.
+    """
+
+    def __init__(
+        self, k: int = SVD_COMPONENTS, col: str = "features", out: str = "svd",
+        seed: int = SPLIT_SEED, passes: int = SVD_PASSES,
+    ):
+        self.k, self.col, self.out, self.seed, self.passes = k, col, out, seed, passes
 
     def fit(self, df: DataFrame) -> TruncatedSvdModel:
-        """One pass for the Gram matrix if there are few columns, else ARPACK."""
-        vectors = MLUtils.convertVectorColumnsFromML(df.select(self.col), self.col)
-        matrix = RowMatrix(vectors)
-        n = matrix.numCols()
+        n = df.select(self.col).first()[0].size
         k = min(self.k, n)
-        if n * k > MAX_MATRIX_CELLS:
+        if n * (k + SVD_OVERSAMPLE) > MAX_MATRIX_CELLS:
             raise ValueError(f"a {n} x {k} projection is too large to ship; lower max_features")
         if n <= GRAM_COLUMNS:
-            gram = matrix.computeGramianMatrix().toArray()
-            values, vectors_ = np.linalg.eigh(gram)
-            best = np.argsort(values)[::-1][:k]
-            sigma, v = np.sqrt(np.clip(values[best], 0.0, None)), vectors_[:, best]
+            rows = MLUtils.convertVectorColumnsFromML(df.select(self.col), self.col)
+            basis, gram = np.eye(n), RowMatrix(rows).computeGramianMatrix().toArray()
         else:
-            svd = matrix.computeSVD(k)
-            sigma, v = svd.s.toArray(), svd.V.toArray()
-        return TruncatedSvdModel(sigma, np.ascontiguousarray(v), self.col, self.out)
+            start = np.random.default_rng(self.seed).standard_normal((n, min(k + SVD_OVERSAMPLE, n)))
+            basis = np.linalg.qr(start)[0]
+            for _ in range(self.passes):
+                basis = np.linalg.qr(self._gram_times(df, basis))[0]
+            gram = basis.T @ self._gram_times(df, basis)
+        values, vectors = np.linalg.eigh(gram)
+        best = np.argsort(values)[::-1][:k]
+        sigma = np.sqrt(np.clip(values[best], 0.0, None))
+        return TruncatedSvdModel(sigma, basis @ vectors[:, best], self.col, self.out)
+
+    def _gram_times(self, df: DataFrame, basis: np.ndarray) -> np.ndarray:
+        """``A' (A basis)`` for the rows A of the frame.
+
+        Every task sums its own rows into one block and hands on the columns it
+        has seen; a grouped sum adds the blocks.
+        """
+        shipped = df.sparkSession.sparkContext.broadcast(basis)
+
+        def block(batches):
+            q = shipped.value
+            z, seen = np.zeros_like(q), np.zeros(len(q), dtype=bool)
+            for batch in batches:
+                for i, x in zip(batch["indices"], batch["values"]):
+                    x = np.asarray(x, dtype=float)
+                    z[i] += np.outer(x, x @ q[i])
+                    seen[i] = True
+            for chunk in np.array_split(np.flatnonzero(seen), 1 + int(seen.sum()) // 1000):
+                yield pd.DataFrame({"idx": chunk, "sums": list(z[chunk])})
+
+        v = F.unwrap_udt(F.col(self.col))
+        blocks = df.select(v["indices"].alias("indices"), v["values"].alias("values")).mapInPandas(
+            block, "idx long, sums array<double>"
+        )
+        total = blocks.groupBy("idx").agg(Summarizer.sum(array_to_vector("sums")).alias("z"))
+        product = np.zeros_like(basis)
+        for row in total.select("idx", vector_to_array("z").alias("z")).collect():
+            product[row["idx"]] = row["z"]
+        shipped.unpersist()
+        return product
 
 
 class TruncatedSvdModel:

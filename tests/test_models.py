@@ -86,22 +86,24 @@ def test_unknown_model(docs):
         run_experiment(docs, "other", max_features=10)
 
 
-@pytest.mark.parametrize("route", ["gram", "arpack"])
+@pytest.mark.parametrize("route", ["gram", "randomised"])
 def test_svd_equals_numpy(data, monkeypatch, route):
-    if route == "arpack":
+    if route == "randomised":
         monkeypatch.setattr(features, "GRAM_COLUMNS", 1)
+    close = 1e-6 if route == "gram" else 1e-3
     rows = data.train.select(vector_to_array("features").alias("v")).collect()
     dense = np.array([r.v for r in rows])
     sigma = np.linalg.svd(dense, compute_uv=False)[:5]
-    model = features.TruncatedSvd(5).fit(data.train)
-    assert np.allclose(model.singular_values, sigma, atol=1e-6)
+    model = features.TruncatedSvd(5, passes=8).fit(data.train)
+    assert np.allclose(model.singular_values, sigma, rtol=close)
+    assert np.allclose(model.components.T @ model.components, np.eye(5), atol=1e-9)
     projected = np.array([
         r.v for r in model.transform(data.train).select(vector_to_array("svd").alias("v")).collect()
     ])
     # signs are free, inner products are not
     best = dense @ model.components
     assert np.allclose(projected @ projected.T, best @ best.T, atol=1e-8)
-    assert np.allclose(np.linalg.norm(projected, axis=0), sigma, atol=1e-6)
+    assert np.allclose(np.linalg.norm(projected, axis=0), sigma, rtol=close)
 
 
 def test_too_large_vocabulary_is_refused(docs, monkeypatch):

@@ -15,7 +15,7 @@ PARALLEL = {
     "line one\nline two\ttab": "line one line two tab",
     "a\\nb literal": "anb literal",
     "&amp;lt; x": "amplt x",
-    "foo bar baz": "foo bar baz",
+    "foo\xa0bar baz": "foo bar baz",
     "éxact ١٢٣ words": "exact words",
     "你好 hi 世界peace": "hi peace",
     "zzzz \x1c\x1f q\x85r": "z q r",
@@ -39,7 +39,7 @@ MODEL = {
     "www.a.b/c d": "d",
     "a <multi\nline> b": "a multi line b",
     "tail<x": "tailx",
-    "foo bar": "foo bar",
+    "foo\xa0bar": "foo bar",
     "the and of": "the and of",
     "!!!": "",
     "pre https://q?x=1 post": "pre post",
@@ -95,13 +95,13 @@ def test_extract_label(spark):
 def test_filters(spark):
     df = spark.createDataFrame(
         [(0, None), (1, ""), (2, "\n\n"), (3, "\t"), (4, "I am an intp."), (5, "fine intpx"),
-         (6, " \x1c")],
+         (6, "\xa0\x1c")],
         "i int, t string",
     )
-    assert {r.i for r in filters.drop_blank(df, "t").collect()} == {0, 4, 5}
-    assert {r.i for r in filters.drop_mentions(df, "t").collect()} == {0, 1, 2, 3, 5, 6}
+    assert {r.i for r in filters.drop_blank(df, "t").collect()} == {0, 4, 5, 7}
+    assert {r.i for r in filters.drop_mentions(df, "t").collect()} == {0, 1, 2, 3, 5, 6, 7}
     assert [(r.i, r.t) for r in filters.drop_empty_input(df, "t").orderBy("i").collect()] == [
-        (4, "I am an intp."), (5, "fine intpx")]
+        (4, "I am an intp."), (5, "fine intpx"), (7, "x  y")]
 
 
 def test_word_range_ends_are_included(spark):
@@ -112,10 +112,10 @@ def test_word_range_ends_are_included(spark):
 
 
 def test_tokenizers(spark):
-    text = "Don't stop_me NOW: x (été) a b, 42!"
+    text = "Don't stop_me NOW: x (été) a\xa0b, 42!"
     assert column(spark, [text], tx.tokenize_words)[0] == ["don", "stop_me", "now", "été", "42"]
     assert column(spark, [text], tx.tokenize_keras)[0] == [
-        "don't", "stop", "me", "now", "x", "été", "a b", "42"]
+        "don't", "stop", "me", "now", "x", "été", "a\xa0b", "42"]
 
 
 def test_axis_label(spark):
