@@ -15,7 +15,7 @@ PARALLEL = {
     "line one\nline two\ttab": "line one line two tab",
     "a\\nb literal": "anb literal",
     "&amp;lt; x": "amplt x",
-    "foo\xa0bar baz": "foo bar baz",
+    "foo\xa0bar\u2003baz": "foo bar baz",
     "éxact ١٢٣ words": "exact words",
     "你好 hi 世界peace": "hi peace",
     "zzzz \x1c\x1f q\x85r": "z q r",
@@ -42,7 +42,7 @@ MODEL = {
     "foo\xa0bar": "foo bar",
     "the and of": "the and of",
     "!!!": "",
-    "pre https://q?x=1 post": "pre post",
+    "pre https://q?x=1\u2003post": "pre post",
     None: "nan",
 }
 
@@ -95,7 +95,7 @@ def test_extract_label(spark):
 def test_filters(spark):
     df = spark.createDataFrame(
         [(0, None), (1, ""), (2, "\n\n"), (3, "\t"), (4, "I am an intp."), (5, "fine intpx"),
-         (6, "\xa0\x1c")],
+         (6, "\xa0\x1c"), (7, "\u2003 x  y\xa0")],
         "i int, t string",
     )
     assert {r.i for r in filters.drop_blank(df, "t").collect()} == {0, 4, 5, 7}
