@@ -93,11 +93,7 @@ def _checked_terms(terms: list[str]) -> list[str]:
 
 
 def fit_idf(
-    df: DataFrame,
-    id_col: str,
-    text: str,
-    max_features: int | None,
-    stop_words: Iterable[str] = (),
+    df: DataFrame, text: str, max_features: int | None, stop_words: Iterable[str] = ()
 ) -> tuple[list[str], list[float]]:
     """Vocabulary in alphabetical order and ``ln((1 + texts) / (1 + df)) + 1`` for it.
 
@@ -105,7 +101,7 @@ def fit_idf(
     the number of texts it occurs in.
     """
     terms = (
-        document_terms(df, id_col, text, stop_words)
+        document_terms(df, [], text, stop_words)
         .groupBy("term")
         .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("df"))
     )
@@ -142,16 +138,16 @@ def vector_cells(df: DataFrame, col: str, keep: Sequence[str]) -> DataFrame:
 # --- TF-IDF -------------------------------------------------------------------
 
 def document_terms(
-    df: DataFrame, id_col: str, text: str, stop_words: Iterable[str] = ()
+    df: DataFrame, keep: Sequence[str], text: str, stop_words: Iterable[str] = ()
 ) -> DataFrame:
-    """Rows ``(id, term, n)``: term counts of each text, found inside its own row.
+    """Rows ``(keep..., term, n)``: term counts of each text, found inside its own row.
 
     A text is one row, so its tokens are sorted and run-length counted in place;
     no shuffle of tokens is needed. Each ``explode`` of a one-element array
     evaluates its argument once and gives it a name for the next lambda.
     """
     tokens = tx.remove_stop_words(tx.tokenize_words(F.col(text)), stop_words)
-    ordered = df.select(id_col, F.explode(F.array(F.array_sort(tokens))).alias("s")).filter(
+    ordered = df.select(*keep, F.explode(F.array(F.array_sort(tokens))).alias("s")).filter(
         F.size("s") > 0
     )
     s = F.col("s")
@@ -160,7 +156,7 @@ def document_terms(
         lambda i: (i == 0) | (F.get(s, i) != F.get(s, F.greatest(i - 1, F.lit(0)))),
     )
     bounds = ordered.select(
-        id_col, "s", F.explode(F.array(F.concat(starts, F.array(F.size(s))))).alias("b")
+        *keep, "s", F.explode(F.array(F.concat(starts, F.array(F.size(s))))).alias("b")
     )
     b = F.col("b")
     runs = F.transform(
@@ -169,7 +165,7 @@ def document_terms(
             F.get(s, start).alias("term"), (F.get(b, j + 1) - start).cast("long").alias("n")
         ),
     )
-    return bounds.select(id_col, F.inline(runs))
+    return bounds.select(*keep, F.inline(runs))
 
 
 def document_frequency(
@@ -200,7 +196,7 @@ def tfidf_table(
     join. None of those terms can hold more than ``1 / hot_terms`` of all cells,
     so the shuffle has no hot key however common the common words are.
     """
-    cells = document_terms(df, id_col, text, stop_words)
+    cells = document_terms(df, [id_col], text, stop_words)
     frequency = document_frequency(df, text, stop_words)
     hot = (
         frequency.orderBy(F.desc("df"), "term")

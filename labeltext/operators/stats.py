@@ -22,8 +22,8 @@ from labeltext.constants import (
     TOP_WORDS_K,
 )
 from labeltext.functions import text as tx
-from labeltext.operators.features import count_vectors, vector_cells, vocabulary_list
-from labeltext.operators.topk import build_vocab, top_k, top_k_per_group
+from labeltext.operators.features import document_terms
+from labeltext.operators.topk import top_k, top_k_per_group
 
 
 def class_distribution(df: DataFrame, col: str = "type") -> DataFrame:
@@ -148,41 +148,35 @@ def mutual_information(
 ) -> DataFrame:
     """Mutual information (nats) of a term's count in a text with a 0/1 label.
 
-    Texts become sparse count vectors inside the task, so only cells
-    (term, count) leave it, already summed. Cells of texts without the term
-    follow by subtraction from the label totals; nothing is made dense.
+    Counts per text are found inside its row, so all that leaves a task is how
+    often (term, count) goes with either label. Those cells also give the total
+    by which the ``max_features`` most frequent terms are chosen, and the cells
+    of texts without the term follow by subtraction from the label totals: one
+    pass over the texts, no join, nothing made dense.
     """
     labelled = df.filter(F.col(label).isNotNull())
-    vocab = vocabulary_list(
-        build_vocab(explode_terms(labelled, text, (), stop_words), max_features)
-    )
-    vectors = count_vectors(labelled, vocab, text, stop_words=stop_words)
     cells = (
-        vector_cells(vectors, "counts", [label])
-        .groupBy("idx", "value")
+        document_terms(labelled, [label], text, stop_words)
+        .groupBy("term", "n")
         .agg(F.count_if(F.col(label) == 1).alias("n1"), F.count_if(F.col(label) == 0).alias("n0"))
     )
     totals = labelled.agg(
-        F.struct(
-            F.count_if(F.col(label) == 1).cast("double").alias("t1"),
-            F.count_if(F.col(label) == 0).cast("double").alias("t0"),
-        )
-    ).scalar()
-    t1, t0 = totals["t1"], totals["t0"]
+        F.count_if(F.col(label) == 1).alias("t1"), F.count_if(F.col(label) == 0).alias("t0")
+    ).first()
+    t1, t0 = F.lit(float(totals["t1"])), F.lit(float(totals["t0"]))
     n1, n0 = F.col("n1").cast("double"), F.col("n0").cast("double")
-    per_term = cells.groupBy("idx").agg(
+    per_term = cells.groupBy("term").agg(
+        F.sum(F.col("n") * (F.col("n1") + F.col("n0"))).alias("total"),
         F.sum(
             _information(n1, n1 + n0, t1, t1 + t0) + _information(n0, n1 + n0, t0, t1 + t0)
         ).alias("present"),
         F.sum(n1).alias("s1"),
         F.sum(n0).alias("s0"),
     )
+    vocab = top_k(per_term, [F.desc("total"), F.asc("term")], max_features)
     z1, z0 = t1 - F.col("s1"), t0 - F.col("s0")
     absent = _information(z1, z1 + z0, t1, t1 + t0) + _information(z0, z1 + z0, t0, t1 + t0)
-    terms = df.sparkSession.createDataFrame(
-        list(enumerate(vocab)), "idx int, term string"
-    )
-    scored = per_term.join(terms, "idx").select(
+    scored = vocab.select(
         "term", F.round(F.greatest(F.col("present") + absent, F.lit(0.0)), 9).alias("mi")
     )
     return scored if k is None else top_k(scored, [F.desc("mi"), F.asc("term")], k)

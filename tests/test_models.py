@@ -109,7 +109,7 @@ def test_svd_equals_numpy(data, monkeypatch, route):
 def test_too_large_vocabulary_is_refused(docs, monkeypatch):
     monkeypatch.setattr(features, "MAX_VOCABULARY_TERMS", 10)
     with pytest.raises(ValueError, match="max_features"):
-        features.fit_idf(docs, "doc_id", "posts", None)
+        features.fit_idf(docs, "posts", None)
 
 
 def test_saved_model_scores_the_same_in_batch_and_stream(spark, docs, data, lr, tmp_path):

@@ -122,7 +122,7 @@ def test_tfidf_does_not_depend_on_the_hot_split(corpus, hot):
 
 
 def test_document_terms(corpus):
-    got = {(r.doc_id, r.term): r.n for r in features.document_terms(corpus, "doc_id", "posts").collect()}
+    got = {(r.doc_id, r.term): r.n for r in features.document_terms(corpus, ["doc_id"], "posts").collect()}
     want = {(i, t): n for i, _, text in ROWS for t, n in Counter(text.split()).items()}
     assert got == want
 
