@@ -193,9 +193,13 @@ def concat_parts(
     whole text.
     """
     part = F.floor(F.col(order) / F.lit(rows_per_part)).alias("part")
+    return df.groupBy(group, part).agg(_joined(col, order, sep).alias(out))
+
+
+def _joined(col: str, order: str, sep: str):
+    """The texts of a group in order, as one string."""
     texts = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(col).alias("t"))))
-    joined = F.array_join(F.transform(texts, lambda p: p["t"]), sep)
-    return df.groupBy(group, part).agg(joined.alias(out))
+    return F.array_join(F.transform(texts, lambda p: p["t"]), sep)
 
 
 def concat_by_group(
@@ -209,7 +213,7 @@ def concat_by_group(
     may not fit a row, use the pieces. Class statistics do without either.
     """
     parts = concat_parts(df, group, col, order, sep, "_t", rows_per_part)
-    return concat_parts(parts, group, "_t", "part", sep, out, 1 << 62).drop("part")
+    return parts.groupBy(group).agg(_joined("_t", "part", sep).alias(out))
 
 
 def class_weights(df: DataFrame, label: str = "type") -> DataFrame:
