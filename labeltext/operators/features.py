@@ -195,23 +195,28 @@ def tfidf_table(
     fixed number of rows); only cells of the other terms are shuffled for the
     join. None of those terms can hold more than ``1 / hot_terms`` of all cells,
     so the shuffle has no hot key however common the common words are.
+
+    The norm needs all cells of a text together. Texts are placed by id before
+    they are taken apart, and the rare cells are brought to the same places, so
+    the union keeps the partitioning and the many common cells never move.
     """
-    cells = document_terms(df, [id_col], text, stop_words)
-    frequency = document_frequency(df, text, stop_words)
-    hot = (
-        frequency.orderBy(F.desc("df"), "term")
-        .limit(hot_terms)
-        .select("term", F.col("df").alias("hot_df"))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = df.select(id_col, text)
+    frequency = document_frequency(texts, text, stop_words)
+    hot = broadcast_bounded(
+        frequency.orderBy(F.desc("df"), "term").limit(hot_terms), hot_terms
     )
-    marked = cells.join(broadcast_bounded(hot, hot_terms), "term", "left")
-    common = marked.filter(F.col("hot_df").isNotNull()).select(
-        id_col, "term", "n", F.col("hot_df").alias("df")
+    common = (
+        document_terms(texts.repartition(parts, id_col), [id_col], text, stop_words)
+        .join(hot, "term")
+        .select(id_col, "term", "n", "df")
     )
     rare = (
-        marked.filter(F.col("hot_df").isNull())
-        .select(id_col, "term", "n")
+        document_terms(texts, [id_col], text, stop_words)
+        .join(hot.select("term"), "term", "left_anti")
         .join(frequency, "term")
         .select(id_col, "term", "n", "df")
+        .repartition(parts, id_col)
     )
     n_texts = df.agg(F.count(F.lit(1)).cast("double")).scalar()
     idf = F.log((F.lit(1.0) + n_texts) / (F.lit(1.0) + F.col("df"))) + 1.0
