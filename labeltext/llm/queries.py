@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labeltext.llm import bpe, fingerprints, secrets
+from labeltext.llm import ann, bpe, fingerprints, mixing, secrets, toxicity, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,9 +41,44 @@ def op4_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_url_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
+def op8_vp_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
+def op9_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.trained(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+#: Target weights of the sources, in parts; any other source belongs to the rest.
+SOURCE_PARTS = {"src0": 8, **{f"src{i}": 2 for i in range(1, 10)}, **{f"src{i}": 1 for i in range(10, 20)}}
+
+
+def op10_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    mixed = mixing.interleave(docs, SOURCE_PARTS)
+    return mixed.select(
+        "doc_id", "source", F.col("_block").alias("block"), F.col("_release").alias("release"),
+        F.col("_due").alias("due"), F.col("_slot").alias("slot"), F.col("_offset").alias("offset"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_winnowing": op3_winnowing,
     "op4_secret_ledger": op4_secret_ledger,
+    "op7_url_words": op7_url_words,
+    "op8_vp_trees": op8_vp_trees,
+    "op9_pu_toxicity": op9_pu_toxicity,
+    "op10_pfair_mix": op10_pfair_mix,
 }
 ORACLE: dict[str, str] = {}

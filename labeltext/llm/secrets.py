@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from labeltext.session import materialize
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -143,6 +145,8 @@ def scan_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = rows.where((F.size("spans") > 0) & F.col("rule").isin([rule_key(r) for r in rules]))
     spans = F.transform("spans", lambda x: F.struct(x["start"].alias("start"), place[F.col("rule")].alias("place"), x["end"].alias("end")))
     by_blob = rows.groupBy("blob").agg(F.flatten(F.collect_list(spans)).alias("findings"))  # an entry a rule
+    # written, so that the join reads plain rows on both sides and a hot blob can be split
+    by_blob = materialize(by_blob, "findings")
     empty = F.array().cast("array<struct<start:bigint,place:int,end:bigint>>")
     paths = held.select(id_col, "_blob")
     return paths.join(by_blob, paths["_blob"] == by_blob["blob"], "left").select(
