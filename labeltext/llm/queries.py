@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labeltext.llm import ann, bpe, fingerprints, mixing, neardup, secrets, toxicity, urls
+from labeltext.llm import ann, bpe, fingerprints, mixing, neardup, secrets, substrings, toxicity, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,10 @@ def op4_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"), keep_text=False)
+
+
 def op6_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=4)
 
@@ -80,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_winnowing": op3_winnowing,
     "op4_secret_ledger": op4_secret_ledger,
+    "op5_recompression": op5_recompression,
     "op6_lsh_forest": op6_lsh_forest,
     "op7_url_words": op7_url_words,
     "op8_vp_trees": op8_vp_trees,

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once; one longer text is handled on its own.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 
 _BASE = 0x9E3779B97F4A7C15
 _SPACE = np.zeros(256, bool)
