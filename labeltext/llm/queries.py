@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labeltext.llm import ann, bpe, fingerprints, mixing, neardup, secrets, substrings, toxicity, urls
+from labeltext.llm import ann, bpe, fingerprints, mixing, neardup, secrets, substrings, suffixtree, toxicity, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    learnt = suffixtree.learn(docs.where(~suffixtree.held_out(F.col("doc_id"))))
+    scored = suffixtree.score(docs, *learnt)
+    return scored.withColumn("held_out", suffixtree.held_out(F.col("doc_id")))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -81,6 +88,7 @@ def op10_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_tree": op1_suffix_tree,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_winnowing": op3_winnowing,
     "op4_secret_ledger": op4_secret_ledger,
