@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from labeltext.llm.keyfilter import key_filter, rows_in
 from labeltext.llm.textvec import Rolling, mix, words
 from labeltext.session import materialize
 
@@ -299,7 +300,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         near = pairs.join(clusters.select(F.col("id").alias("a"), "component"), "a").join(large, "component", "left_semi")
         near = near.select(F.explode(F.array("a", "b")).alias("id"), F.xxhash64("a", "b", F.lit("pair")).alias("block"))
         block = block.unionByName(wide).unionByName(near)
-    chosen = block.join(named.where("id is not null"), "id")
+    # only texts of clusters are shuffled, and they are at any size
+    block = materialize(block, "blocks")
+    inside = key_filter(block.select(F.col("id").alias("key")))
+    texts = rows_in(named.where("id is not null"), "id", inside)
+    chosen = block.hint("merge").join(texts, "id")
     links = materialize(_linked(chosen.select("block", "id", "text"), k, share), "links")
     found = components(links) if split else links.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component"))
     found = found.withColumnRenamed("id", "rep")
@@ -311,3 +316,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """``docs`` without the rows that ``near_duplicates`` does not keep; all columns stay.
+
+    Rows that are surely kept are told by a filter of the dropped ids and not
+    shuffled; the few others are compared with these ids by a join.
+    """
+    marked = near_duplicates(docs, id_col, text_col, **settings)
+    dropped = materialize(marked.where("not kept").select(F.col(id_col).cast("bigint").alias("_dropped")).distinct(), "dropped")
+    bits = key_filter(dropped.select(F.col("_dropped").alias("key")))
+    keyed = docs.withColumn("_key", F.col(id_col).cast("bigint"))
+    sure = rows_in(keyed, "_key", bits, inside=False)
+    open_ = rows_in(keyed, "_key", bits).join(dropped, F.col("_key") == F.col("_dropped"), "left_anti")
+    return sure.unionByName(open_).drop("_key")

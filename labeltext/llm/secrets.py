@@ -128,6 +128,20 @@ def joined(findings: Column, names: tuple[str, ...]) -> Column:
     return F.array_join(F.transform(kept, lambda x: F.concat_ws(":", kind(x), x["start"], x["end"])), ",")
 
 
+def findings_by_blob(held: DataFrame, ledger: DataFrame | None, rules: tuple[Rule, ...]) -> DataFrame:
+    """``(blob, findings)`` of the blobs of ``held`` that have any, with those of ``ledger``."""
+    rows = scan(held, ledger, rules)
+    if ledger is not None:
+        rows = rows.unionByName(ledger.select("blob", "rule", "spans"))
+    place = F.create_map(*(x for i, r in enumerate(rules) for x in (F.lit(rule_key(r)), F.lit(i))))
+    rows = rows.where((F.size("spans") > 0) & F.col("rule").isin([rule_key(r) for r in rules]))
+    spans = F.transform("spans", lambda x: F.struct(
+        x["start"].alias("start"), place[F.col("rule")].alias("place"), x["end"].alias("end")))
+    by_blob = rows.groupBy("blob").agg(F.flatten(F.collect_list(spans)).alias("findings"))  # an entry a rule
+    # written, so that a join reads plain rows on both sides and a hot blob can be split
+    return materialize(by_blob, "findings")
+
+
 def scan_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Every row of ``docs`` (id only) with ``_blob`` and ``findings``.
@@ -138,15 +152,7 @@ def scan_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     are all returned.
     """
     held = address(docs.select(F.col(id_col), F.col(text_col).alias("text")))
-    rows = scan(held, ledger, rules)
-    if ledger is not None:
-        rows = rows.unionByName(ledger.select("blob", "rule", "spans"))
-    place = F.create_map(*(x for i, r in enumerate(rules) for x in (F.lit(rule_key(r)), F.lit(i))))
-    rows = rows.where((F.size("spans") > 0) & F.col("rule").isin([rule_key(r) for r in rules]))
-    spans = F.transform("spans", lambda x: F.struct(x["start"].alias("start"), place[F.col("rule")].alias("place"), x["end"].alias("end")))
-    by_blob = rows.groupBy("blob").agg(F.flatten(F.collect_list(spans)).alias("findings"))  # an entry a rule
-    # written, so that the join reads plain rows on both sides and a hot blob can be split
-    by_blob = materialize(by_blob, "findings")
+    by_blob = findings_by_blob(held, ledger, rules)
     empty = F.array().cast("array<struct<start:bigint,place:int,end:bigint>>")
     paths = held.select(id_col, "_blob")
     return paths.join(by_blob, paths["_blob"] == by_blob["blob"], "left").select(
@@ -168,3 +174,21 @@ def redact(text: Column, findings: Column, mark: str = "[secret]") -> Column:
         return F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.char_length(text)))
 
     return F.when(F.size(findings) > 0, F.aggregate(F.array_sort(findings), state, step, finish)).otherwise(text)
+
+
+def redact_documents(docs: DataFrame, text_col: str = "text", ledger: DataFrame | None = None,
+                     rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``docs`` with every found secret replaced; all rows and columns stay, nulls too.
+
+    Findings come from the ledger scan. Texts that no rule can match, which a look
+    at each row tells, are not shuffled; the others get the findings of their blob.
+    """
+    by_blob = findings_by_blob(address(docs.select(F.col(text_col).alias("text"))), ledger, rules)
+    suspect = F.lit(False)
+    for rule in rules:
+        suspect = suspect | F.col(text_col).rlike(_fast(rule))
+    suspect = F.coalesce(suspect, F.lit(False))
+    hits = address(docs.where(suspect), text_col)
+    hits = hits.join(by_blob.select("blob", F.col("findings").alias("_findings")), F.col("_blob") == F.col("blob"), "left")
+    hits = hits.withColumn(text_col, redact(F.col(text_col), F.col("_findings"))).select(*(f"`{c}`" for c in docs.columns))
+    return docs.where(~suspect).unionByName(hits)

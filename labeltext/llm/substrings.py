@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from labeltext.llm.keyfilter import key_filter, member
 from labeltext.llm.textvec import Rolling, mix, words
 from labeltext.session import materialize
 
@@ -32,10 +33,6 @@ LOSS = 2 * sum(c - 1 for c in CAPS)
 #: In every so many positions one anchor is chosen; they fit into what is left.
 SPAN = WINDOW - 2 * LOSS - NAME + 1
 
-#: Bits of the filters that tell a scan where to look; what they let through by
-#: chance is compared like everything else.
-FILTER_BITS = 1 << 26
-
 _BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 _ODD = np.uint64(0x9FB21C651E98DF25)
 
@@ -111,7 +108,7 @@ class Parsed:
 
     def suspects(self, shared: np.ndarray) -> np.ndarray:
         """Which window starts lie round an anchor with a name in the filter ``shared``."""
-        p = self.anchors[_member(shared, self.names)]
+        p = self.anchors[member(shared, self.names)]
         first = np.maximum(p + NAME - WINDOW, self.bounds[:-1][self.owner[p]])
         edge = np.zeros(len(self.hashes) + 1, np.int64)
         np.add.at(edge, first, 1)
@@ -135,37 +132,6 @@ class Parsed:
         return self.windows[head[held]], self.windows[tail[held]], np.where(held[which], number[which], -1)
 
 
-def _slots(keys: np.ndarray) -> np.ndarray:
-    return np.stack([mix(keys + np.uint64(i)) & np.uint64(FILTER_BITS - 1) for i in (11, 12, 13)])
-
-
-def _member(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    slots = _slots(keys)
-    return ((bits[(slots >> np.uint64(3)).astype(np.int64)] >> (slots & np.uint64(7)).astype(np.uint8)) & 1).all(0)
-
-
-def _filter(keys: DataFrame) -> np.ndarray:
-    """A Bloom filter of the longs in column ``key``: FILTER_BITS at most, whatever comes in."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits: dict[int, int] = {}
-        for batch in batches:
-            slots = np.unique(_slots(batch.column(0).to_numpy().view(np.uint64)))
-            place = (slots >> np.uint64(6)).astype(np.int64)
-            value = np.uint64(1) << (slots & np.uint64(63))
-            head = np.flatnonzero(np.r_[True, place[1:] != place[:-1]]) if len(place) else place
-            if len(place):
-                word = np.bitwise_or.reduceat(value, head)
-                yield pa.RecordBatch.from_arrays([pa.array(place[head]), pa.array(word.view(np.int64))], ["place", "bits"])
-        del bits
-
-    table = keys.select("key").mapInArrow(run, "place bigint, bits bigint").groupBy("place").agg(
-        F.bit_or("bits").alias("bits")).toArrow()
-    out = np.zeros(FILTER_BITS // 64, np.int64)
-    out[table.column("place").to_numpy()] = table.column("bits").to_numpy()
-    return out.view(np.uint8)
-
-
 def _scan(docs: DataFrame, emit, schema: str) -> DataFrame:
     """``emit(parsed, ids)`` over all rows of ``docs (id, text)``: arrays of ``schema``'s columns."""
     names = [c.split()[0] for c in schema.split(", ")]
@@ -206,7 +172,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return own[1], ids[own[0].astype(np.int64)]
 
     names = _scan(named, anchors, "name bigint, id bigint").groupBy("name").agg(F.min("id").alias("a"), F.max("id").alias("b"))
-    shared = _filter(names.where("a < b").select(F.col("name").alias("key")))
+    shared = key_filter(names.where("a < b").select(F.col("name").alias("key")))
 
     def stretches(p: Parsed, ids: np.ndarray):
         first, last, _ = p.stretches(p.suspects(shared))
@@ -219,12 +185,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     settled = found.join(least, ["a", "b"]).where("id > least").select("id", "seq", F.col("a").alias("mark"))
 
     # windows matter in the smallest document of a stretch only: it has all of them
-    chosen = _filter(least.select(F.expr("a ^ least").alias("key")))
+    chosen = key_filter(least.select(F.expr("a ^ least").alias("key")))
 
     def windows(p: Parsed, ids: np.ndarray):
         first, last, which = p.stretches(p.suspects(shared))
         a, _ = p.digest(first, last + WINDOW)
-        open_ = _member(chosen, a ^ ids[p.owner[first]].astype(np.uint64)) if len(a) else np.zeros(0, bool)
+        open_ = member(chosen, a ^ ids[p.owner[first]].astype(np.uint64)) if len(a) else np.zeros(0, bool)
         at = p.windows[(which >= 0) & open_[which]] if len(a) else p.windows[:0]
         a, b = p.digest(at, at + WINDOW)
         row = p.owner[at]

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from labeltext.llm.textvec import words
 
@@ -190,18 +191,24 @@ def train(docs: DataFrame, confirmed: DataFrame, prior: float, id_col: str = "do
     return Model(features, weights, bias)
 
 
-def score(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns of every row and ``score``; null and empty texts have no features."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
+def score(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",),
+          score_col: str = "score") -> DataFrame:
+    """``keep`` columns of every row and ``score_col``; null and empty texts have no features.
+
+    ``score_col`` must not be among ``keep``; other columns are left out.
+    """
+    kept = docs.select(*(docs[f"`{c}`"] for c in keep))
+    schema = StructType([*kept.schema.fields, StructField(score_col, DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, places = _looked_up(batch.column(0), model.features)
             z = np.bincount(rows, model.weights[places], batch.num_rows) + model.bias
             p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(p)], [*keep, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(p)], [*keep, score_col])
 
-    return docs.select(F.col(text_col).alias("_scored"), *keep).mapInArrow(run, f"{schema}, score double")
+    source = docs.select(F.col(text_col).alias("_scored"), *(docs[f"`{c}`"] for c in keep))
+    return source.mapInArrow(run, schema)
 
 
 def held_out(doc_id: Column) -> Column:
