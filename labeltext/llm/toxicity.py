@@ -33,9 +33,14 @@ MOST_CANDIDATES = 65_536
 MOST_FEATURES = 2_048
 
 #: A feature has to be in so many positives, in such a share of them, and so many
-#: times more common there than among all texts.
+#: times more common there than among all texts (two thirds of that at two standard
+#: errors less, so that a handful of texts proves nothing).
 LEAST_TEXTS, LEAST_SHARE, LEAST_LIFT = 3, 0.01, 3.0
 
+#: A feature's value: its share among the words, in percent, no more than so much;
+#: shorter texts count as having so many words.
+MOST_PERCENT, FEW_WORDS = 3.0, 20
+
 THRESHOLD = 0.7
 
 
@@ -46,26 +51,30 @@ class Model:
     bias: float
 
 
-def _looked_up(texts: pa.Array, features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct ``(row, place in features)`` of every feature a text has."""
-    rows, places = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+def _looked_up(texts: pa.Array, features: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(row, place in features, value)`` of every feature a text has.
+
+    The value is the feature's share among the text's words, in percent up to
+    MOST_PERCENT, as if the text had FEW_WORDS words at least.
+    """
+    out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
     if not len(features):
-        return rows[0], places[0]
+        return out[0]
     # a small table by the low bits keeps most look-ups from a search
     maybe = np.zeros(1 << 20, bool)
     maybe[(features & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
     for part in words(texts, lower=True, pieces=True):
-        row = part.row
+        row, size = part.row, np.maximum(np.diff(part.bounds), FEW_WORDS)
         found = [(np.arange(len(row)), part.hashes()), *(part.prefixes(n) for n in PREFIXES)]
         for kind, (which, h) in enumerate(found):
             h = h + np.uint64(kind)
             hit = np.flatnonzero(maybe[(h & np.uint64((1 << 20) - 1)).astype(np.int64)])
             at = np.minimum(np.searchsorted(features, h[hit]), len(features) - 1)
             same = features[at] == h[hit]
-            pair = np.unique((row[which[hit[same]]] + part.first) * len(features) + at[same])
-            rows.append(pair // len(features))
-            places.append(pair % len(features))
-    return np.concatenate(rows), np.concatenate(places)
+            pair, n = np.unique(row[which[hit[same]]] * len(features) + at[same], return_counts=True)
+            own = pair // len(features)
+            out.append((own + part.first, pair % len(features), np.minimum(100 * n / size[own], MOST_PERCENT)))
+    return tuple(np.concatenate(x) for x in zip(*out))
 
 
 def _all_features(texts: pa.Array) -> np.ndarray:
@@ -93,7 +102,7 @@ def _tally(docs: DataFrame, text_col: str, features: np.ndarray | None) -> DataF
                 h, n = np.unique(_all_features(batch.column(0)), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["feature", "n"])
             else:
-                _, places = _looked_up(batch.column(0), features)
+                _, places, _ = _looked_up(batch.column(0), features)
                 counts += np.bincount(places, minlength=len(features))
         del total
         if features is not None:
@@ -110,11 +119,11 @@ def _array(df: DataFrame, *columns: str) -> list[np.ndarray]:
     return [table.column(c).to_numpy() for c in columns]
 
 
-def fit(row: np.ndarray, place: np.ndarray, toxic: np.ndarray, width: int, prior: float,
+def fit(row: np.ndarray, place: np.ndarray, value: np.ndarray, toxic: np.ndarray, width: int, prior: float,
         steps: int = 500, rate: float = 0.05, decay: float = 1e-5) -> tuple[np.ndarray, float]:
     """Weights and bias by Adam on the non-negative risk.
 
-    ``row, place``: which features a text has; ``toxic``: which texts are confirmed.
+    ``row, place, value``: the features a text has; ``toxic``: which texts are confirmed.
     Where the second part of the risk falls below zero, its gradient is turned
     round, so that the model gives up what it has fitted too far.
     """
@@ -122,7 +131,7 @@ def fit(row: np.ndarray, place: np.ndarray, toxic: np.ndarray, width: int, prior
     m, v = np.zeros(width + 1), np.zeros(width + 1)
     n_p, n_u = max(1, toxic.sum()), max(1, (~toxic).sum())
     for t in range(1, steps + 1):
-        z = np.bincount(row, w[place], len(toxic)) + b
+        z = np.bincount(row, w[place] * value, len(toxic)) + b
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         as_zero = np.logaddexp(0, z)  # the loss of calling a text 0
         second = as_zero[~toxic].sum() / n_u - prior * as_zero[toxic].sum() / n_p
@@ -130,7 +139,7 @@ def fit(row: np.ndarray, place: np.ndarray, toxic: np.ndarray, width: int, prior
         if second < 0:
             grad = -grad
         grad = grad + np.where(toxic, prior * (p - 1) / n_p, 0)
-        g = np.append(np.bincount(place, grad[row], width) + decay * w, grad.sum())
+        g = np.append(np.bincount(place, grad[row] * value, width) + decay * w, grad.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
         w, b = w - step[:-1], b - step[-1]
@@ -164,7 +173,8 @@ def train(docs: DataFrame, confirmed: DataFrame, prior: float, id_col: str = "do
     size = float(docs.count())
     p, q = n_pos / max(1, p_size), (in_all + 1) / (size + 1)
     gain = (p - q) / np.sqrt(q * (1 - np.minimum(q, 0.999)) / max(1, p_size) + 1e-12)
-    good = np.flatnonzero((p >= LEAST_LIFT * q) & (gain > 4))
+    low = (n_pos - 2 * np.sqrt(n_pos)) / max(1, p_size)  # two standard errors below p
+    good = np.flatnonzero((p >= LEAST_LIFT * q) & (low >= LEAST_LIFT / 1.5 * q))
     good = np.sort(good[np.argsort(-gain[good], kind="stable")][:MOST_FEATURES])
     features = candidates[good]
     if not len(features):
@@ -176,18 +186,18 @@ def train(docs: DataFrame, confirmed: DataFrame, prior: float, id_col: str = "do
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, places = _looked_up(batch.column(1), features)
+            rows, places, values = _looked_up(batch.column(1), features)
             order = np.argsort(rows, kind="stable")
-            edges = np.searchsorted(rows[order], np.arange(batch.num_rows + 1))
-            lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(places[order], pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["toxic", "places"])
+            edges = pa.array(np.searchsorted(rows[order], np.arange(batch.num_rows + 1)), pa.int32())
+            lists = [pa.ListArray.from_arrays(edges, pa.array(x[order])) for x in (places, values)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *lists], ["toxic", "places", "values"])
 
-    table = chosen.mapInArrow(run, "toxic boolean, places array<int>").toArrow()
+    table = chosen.mapInArrow(run, "toxic boolean, places array<bigint>, values array<double>").toArrow()
     toxic = table.column("toxic").to_numpy(zero_copy_only=False).astype(bool)
     lists = table.column("places").combine_chunks()
-    sizes = np.diff(lists.offsets.to_numpy())
-    row, place = np.repeat(np.arange(len(toxic)), sizes), lists.values.to_numpy()
-    weights, bias = fit(row, place, toxic, len(features), prior)
+    row, place = np.repeat(np.arange(len(toxic)), np.diff(lists.offsets.to_numpy())), lists.flatten().to_numpy()
+    value = table.column("values").combine_chunks().flatten().to_numpy()
+    weights, bias = fit(row, place, value, toxic, len(features), prior)
     return Model(features, weights, bias)
 
 
@@ -202,8 +212,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, places = _looked_up(batch.column(0), model.features)
-            z = np.bincount(rows, model.weights[places], batch.num_rows) + model.bias
+            rows, places, values = _looked_up(batch.column(0), model.features)
+            z = np.bincount(rows, model.weights[places] * values, batch.num_rows) + model.bias
             p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(p)], [*keep, score_col])
 
