@@ -76,3 +76,6 @@ WHITE_SPACE = (
 
 # --- Fixed values: characters replaced by a space by the sequence tokenizer --
 SEQUENCE_FILTERS = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~\t\n'
+
+#: Classes of one label column: they are held on the driver and in one row.
+MAX_CLASSES = 10_000

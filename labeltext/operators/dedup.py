@@ -9,20 +9,18 @@ from pyspark.sql import functions as F
 
 
 def dedup_first(df: DataFrame, keys: Sequence[str] | str, order: str) -> DataFrame:
-    """One row per ``keys``: the row with the smallest ``order``.
+    """One row per ``keys``: the row with the smallest ``order``, which identifies rows.
 
-    ``order`` must identify rows (an id), so every ``min_by`` picks from the
-    same row. An aggregate is used and not a window: copies collapse before the
-    shuffle, so a text that makes up a third of the input reaches the reducer as
-    one row per map task. With fixed-width payload columns Spark plans it as a
-    hash aggregate without any sort.
+    The smallest ``order`` is found per digest of the keys: one fixed-width value
+    per key, so a hash aggregate, in which copies collapse before the shuffle. A
+    semi join on ``order``, which has no hot values, then picks the rows. Nulls
+    are equal to each other and to nothing else.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    rest = [c for c in df.columns if c not in keys and c != order]
-    kept = df.groupBy(*keys).agg(
-        F.min(order).alias(order), *[F.min_by(c, order).alias(c) for c in rest]
-    )
-    return kept.select(*df.columns)
+    parts = [F.coalesce(F.sha2(F.col(k).cast("string"), 256), F.lit("-")) for k in keys]
+    digest = F.unhex(F.sha2(F.concat(*parts), 256))
+    first = df.groupBy(digest.alias("_key")).agg(F.min(order).alias(order)).select(order)
+    return df.join(first, order, "left_semi").select(*df.columns)
 
 
 def sort_by_text(df: DataFrame, text: str = "posts") -> DataFrame:

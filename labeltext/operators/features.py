@@ -6,7 +6,7 @@ from collections.abc import Iterable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.feature import IDF, CountVectorizerModel, ElementwiseProduct, HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
@@ -25,9 +25,7 @@ from labeltext.session import broadcast_bounded
 MAX_VOCABULARY_TERMS = 1 << 20
 MAX_VOCABULARY_CHARS = 64 << 20
 MAX_MATRIX_CELLS = 64 << 20
-#: Up to this many columns the SVD solves the Gram matrix; above, it is randomised
-#: with this many extra directions and power passes.
-GRAM_COLUMNS = 4096
+#: Extra directions and power passes of the randomised SVD.
 SVD_OVERSAMPLE, SVD_PASSES = 10, 5
 #: Terms whose document frequency is broadcast; see ``tfidf_table``.
 HOT_TERMS = 10_000
@@ -242,28 +240,48 @@ def tfidf_stages(
     ]
 
 
+def hashed_stages(df: DataFrame, width: int, tokens: str, out: str = "features") -> list:
+    """As :func:`tfidf_stages` for any vocabulary: every term adds to one of ``width`` columns.
+
+    Document frequencies are those of the columns; only ``width`` numbers pass
+    through the driver.
+    """
+    tf = HashingTF(numFeatures=width, inputCol=tokens, outputCol="_counts")
+    idf = IDF(inputCol="_counts", outputCol="_idf").fit(tf.transform(df))
+    return [
+        tf,
+        ElementwiseProduct(
+            scalingVec=Vectors.dense(idf.idf.toArray() + 1.0), inputCol="_counts", outputCol="_weighted"
+        ),
+        Normalizer(p=2.0, inputCol="_weighted", outputCol=out),
+    ]
+
+
 # --- truncated SVD ------------------------------------------------------------
 
 class TruncatedSvd:
     """Project vectors on the first ``k`` right singular vectors, not centred.
 
-    Few columns: one pass for the Gram matrix, solved exactly. Many columns: a
-    randomised range finder, whose passes only sum (columns x k) blocks, so its
-    cost does not grow with the square of the vocabulary.
+    ``solver="randomised"``: a range finder, whose passes only sum (columns x k)
+    blocks, so its cost does not grow with the square of the vocabulary.
+    ``solver="gram"``: one pass for the Gram matrix, solved exactly; for few columns.
     """
 
     def __init__(
         self, k: int = SVD_COMPONENTS, col: str = "features", out: str = "svd",
-        seed: int = SPLIT_SEED, passes: int = SVD_PASSES,
+        seed: int = SPLIT_SEED, passes: int = SVD_PASSES, solver: str = "randomised",
     ):
+        if solver not in ("randomised", "gram"):
+            raise ValueError(f"solver must be 'randomised' or 'gram', not {solver!r}")
         self.k, self.col, self.out, self.seed, self.passes = k, col, out, seed, passes
+        self.solver = solver
 
     def fit(self, df: DataFrame) -> TruncatedSvdModel:
         n = df.select(self.col).first()[0].size
         k = min(self.k, n)
         if n * (k + SVD_OVERSAMPLE) > MAX_MATRIX_CELLS:
             raise ValueError(f"a {n} x {k} projection is too large to ship; lower max_features")
-        if n <= GRAM_COLUMNS:
+        if self.solver == "gram":
             rows = MLUtils.convertVectorColumnsFromML(df.select(self.col), self.col)
             basis, gram = np.eye(n), RowMatrix(rows).computeGramianMatrix().toArray()
         else:

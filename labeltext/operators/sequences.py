@@ -9,9 +9,8 @@ from labeltext.constants import OOV_INDEX, SEQUENCE_LENGTH, SEQUENCE_WORDS
 from labeltext.functions import arrays as ar
 from labeltext.functions import text as tx
 from labeltext.operators.features import split_train_val
+from labeltext.session import materialize
 
-#: Largest vocabulary that is looked up inside the row; a larger one is joined.
-LOOKUP_WORDS = 200_000
 _POSITIONS = 1 << 31
 
 
@@ -70,16 +69,22 @@ def _encode_in_row(df: DataFrame, vocab: DataFrame, tokens: str, out: str, num_w
     return table.withColumn(out, F.transform(tokens, index_of)).drop("_table")
 
 
-def _encode_by_join(df: DataFrame, vocab: DataFrame, tokens: str, out: str, id_col: str):
-    words = df.select(id_col, F.posexplode(tokens).alias("pos", "word"))
+def _encode_by_join(df: DataFrame, vocab: DataFrame, tokens: str, out: str):
+    """As :func:`_encode_in_row`, through a join; rows are told apart by a number of their own.
+
+    The numbered rows are written first, so a repeated task cannot number them anew.
+    """
+    rows = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    words = rows.select("_row", F.posexplode(tokens).alias("pos", "word"))
     coded = (
         words.join(vocab, "word", "left")
-        .groupBy(id_col)
+        .groupBy("_row")
         .agg(F.collect_list(F.struct("pos", F.coalesce("idx", F.lit(OOV_INDEX)).alias("i"))).alias("p"))
-        .select(id_col, F.transform(F.array_sort("p"), lambda e: e["i"]).alias(out))
+        .select("_row", F.transform(F.array_sort("p"), lambda e: e["i"]).alias(out))
     )
-    empty = F.array().cast("array<int>")
-    return df.join(coded, id_col, "left").withColumn(out, F.coalesce(F.col(out), empty))
+    empty = F.when(F.col(tokens).isNotNull(), F.array().cast("array<int>"))
+    coded = rows.join(coded, "_row", "left").withColumn(out, F.coalesce(F.col(out), empty))
+    return coded.drop("_row")
 
 
 def encode_sequences(
@@ -90,24 +95,26 @@ def encode_sequences(
     num_words: int = SEQUENCE_WORDS,
     maxlen: int | None = None,
     pad: bool = False,
-    id_col: str = "doc_id",
+    method: str = "row",
 ) -> DataFrame:
-    """Texts as arrays of word indices; unknown words become 1.
+    """Texts as arrays of word indices; unknown words become 1, a null text stays null.
 
     ``maxlen`` keeps the last words of a text. A word maps to exactly one index,
-    so the cut is made before the lookup. The vocabulary has at most
-    ``num_words`` rows: up to ``LOOKUP_WORDS`` it becomes a scalar of hash
-    buckets probed inside the row, without explode, join or shuffle; a larger one
-    is joined.
+    so the cut is made before the lookup. With ``method="row"`` the vocabulary, at
+    most ``num_words`` rows, becomes a scalar of hash buckets probed inside the
+    row, without explode, join or shuffle. ``method="join"`` is for vocabularies
+    that do not fit a task; the result is the same.
     """
+    if method not in ("row", "join"):
+        raise ValueError(f"method must be 'row' or 'join', not {method!r}")
     words = tx.tokenize_keras(F.col(text))
     if maxlen is not None:
         words = ar.keep_last(words, maxlen)
     split = df.select(*df.columns, F.explode(F.array(words)).alias("_words"))
-    if num_words <= LOOKUP_WORDS:
+    if method == "row":
         coded = _encode_in_row(split, vocab, "_words", out, num_words)
     else:
-        coded = _encode_by_join(split, vocab, "_words", out, id_col)
+        coded = _encode_by_join(split, vocab, "_words", out)
     coded = coded.drop("_words")
     if pad:
         coded = coded.withColumn(out, ar.pad_sequence(F.col(out), maxlen or SEQUENCE_LENGTH))

@@ -27,12 +27,12 @@ from labeltext.operators.topk import top_k, top_k_per_group
 
 
 def class_distribution(df: DataFrame, col: str = "type") -> DataFrame:
-    """Rows and percent per class.
+    """Rows and percent per class; rows without a class are left out.
 
     The total is a scalar subquery over the class counts, which reuses their
     exchange; no unpartitioned window is involved.
     """
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n")).scalar()
     return counts.withColumn("pct", F.lit(100.0) * F.col("n") / total).orderBy(F.desc("n"), col)
 
@@ -217,8 +217,8 @@ def concat_by_group(
 
 
 def class_weights(df: DataFrame, label: str = "type") -> DataFrame:
-    """Balanced weight ``n / (classes * n_class)`` per class."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    """Balanced weight ``n / (classes * n_class)`` per class; rows without one don't count."""
+    counts = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
     totals = counts.agg(
         F.struct(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("classes"))
     ).scalar()

@@ -25,6 +25,7 @@ def prepare_corpus(
     lo: int = MIN_WORDS,
     hi: int = MAX_WORDS,
     ordered: bool = True,
+    keep_id: bool = False,
 ) -> DataFrame:
     """Raw posts to the labelled, cleaned, duplicate-free corpus ``(label, text)``.
 
@@ -41,6 +42,9 @@ def prepare_corpus(
 
     The one-element ``explode`` evaluates the cleaning once; otherwise the
     optimizer would repeat it in the word-count filter and in the projection.
+
+    With ``keep_id`` the id of the kept row comes first, so that a split or a model
+    job can follow.
     """
     names = F.array(*[F.lit(code) for code in vocab])
     code = F.array_position(names, tx.label_of(F.col(flair), vocab))
@@ -57,8 +61,12 @@ def prepare_corpus(
         .filter(F.size("words").between(lo, hi))
         .select(id_col, "code", F.array_join("words", " ").alias(text))
     )
-    first = cleaned.groupBy(text).agg(F.min_by("code", id_col).alias("code"))
-    corpus = first.select(F.element_at(names, F.col("code").cast("int")).alias(label), text)
+    first = cleaned.groupBy(text).agg(
+        F.min_by("code", id_col).alias("code"), *[F.min(id_col).alias(id_col)] * keep_id
+    )
+    corpus = first.select(
+        *[id_col] * keep_id, F.element_at(names, F.col("code").cast("int")).alias(label), text
+    )
     return corpus.orderBy(text) if ordered else corpus
 
 

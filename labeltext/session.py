@@ -66,18 +66,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use every core when the input comes in fewer pieces than there are cores.
-
-    Text work is bound by CPU, and one parquet row group is read by one task. A
-    small input is therefore hashed on ``key`` (a row id) over all cores. Larger
-    inputs already have more splits than cores and are returned untouched, so
-    nothing is shuffled at scale. Meant for frames right after the read.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
 def broadcast_bounded(df: DataFrame, max_rows: int) -> DataFrame:
     """Hint ``df`` for broadcast only if it is known to have few rows.
 

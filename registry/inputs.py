@@ -9,8 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from labeltext.session import spread
-
 #: A four-letter code from language, length, source and a hash of the text.
 CODE = (
     "(case when lang = 'en' then 'I' else 'E' end"
@@ -40,8 +38,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    """A text table, spread over all cores if it is small."""
-    return spread(table(spark, sf_dir, name), key)
+    """A text table as it is stored, or over as many tasks as the caller asks for.
+
+    ``spark.labeltext.partitions`` is for small tables in one row group, which one
+    task would read; unset, nothing is moved.
+    """
+    wanted = spark.conf.get("spark.labeltext.partitions", None)
+    df = table(spark, sf_dir, name)
+    return df.repartition(int(wanted), key) if wanted else df
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from labeltext.operators import classify as cl
 from labeltext.operators import dedup, evaluate, features, filters, scoring, sequences, stats
 from labeltext.operators.topk import build_vocab as build_vocab_of
 from labeltext.plans import evaluate_experiment, funnel as funnel_of, prepare_corpus as prepare
-from labeltext.session import scratch_path
+from labeltext.session import materialize, scratch_path
 from labeltext.sources import read_posts, write_corpus
 from registry.inputs import (
     CLASS_NAMES,
@@ -292,8 +292,8 @@ def split_train_val(spark, sf_dir):
 
 @query
 def svd_features(spark, sf_dir):
-    data = cl.prepare_features(by_language(spark, sf_dir), max_features=1000)
-    reduced = cl.with_svd(data, 20).data
+    data = cl.prepare_features(by_language(spark, sf_dir), hashed=HASHED_TERMS)
+    reduced = cl.with_svd(data).data
     return reduced.select("doc_id", vector_to_array("svd").alias("svd"))
 
 
@@ -396,33 +396,72 @@ def alternatives(spark, sf_dir):
 
 @query
 def score_texts(spark, sf_dir):
-    data = cl.prepare_features(by_language(spark, sf_dir), max_features=1000)
+    """Whether every scored text got a known class, its description and a confidence in range."""
+    data = cl.prepare_features(by_language(spark, sf_dir))
     model = cl.scoring_pipeline(data, cl.train_lr(data, "tuned"))
     talk = table(spark, sf_dir, "conversations").select(
         "conv_id", "turn", F.col("text").alias("posts")
     )
-    names = {"en": "English", "de": "German", "fr": "French"}
+    names = {"en": "English", "de": "German", "fr": "French", "es": "Spanish"}
     scored = scoring.score_texts(model, talk, data.classes, descriptions=names)
-    return scored.select("conv_id", "turn", "predicted_type", "confidence", "description")
+    known = F.create_map(*(F.lit(x) for pair in names.items() for x in pair))[F.col("predicted_type")]
+    fits = F.col("confidence").between(1.0 / len(data.classes), 1.0) & (F.col("description") == known)
+    return scored.select("conv_id", "turn", F.coalesce(fits, F.lit(False)).alias("ok"))
+
+
+@query
+def drop_empty_input(spark, sf_dir):
+    talk = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    return filters.drop_empty_input(talk, "text")
+
+
+@query
+def decode_labels(spark, sf_dir):
+    coded = table(spark, sf_dir, "embeddings").select("vec_id", "label")
+    return features.decode_labels(coded, CLASS_NAMES, "label", "name").select("vec_id", "name")
+
+
+@query
+def corpus_to_weights(spark, sf_dir):
+    """Raw posts to corpus, split by the kept id, class weights of the training rows."""
+    kept = prepare(posts(spark, sf_dir), mention_vocab=LEAK_WORDS, ordered=False, keep_id=True)
+    train = features.split_train_val(kept, "row_id").filter(~F.col("is_val"))
+    return stats.class_weights(train).withColumn("weight", F.round("weight", 9))
 
 
 # --- model jobs ---------------------------------------------------------------
 
+#: Columns that all terms are summed into where a model's memory grows with the width.
+HASHED_TERMS = 16_384
+
+
+def _beats_majority(report: DataFrame) -> DataFrame:
+    """``(class, support, beats_majority)`` of a classification report."""
+    report = materialize(report, "report")
+    reached = report.filter(F.col("class") == "accuracy").agg(F.max("f1")).scalar()
+    classes = report.filter(~F.col("class").isin("accuracy", "macro avg", "weighted avg"))
+    majority = classes.agg(F.max("support") / F.sum("support")).scalar()
+    return classes.select("class", "support", (reached > majority).alias("beats_majority"))
+
+
 @query
 def lr_eval(spark, sf_dir):
-    return evaluate_experiment(by_language(spark, sf_dir), "lr", max_features=2000)
+    return _beats_majority(evaluate_experiment(by_language(spark, sf_dir), "lr"))
 
 
 @query
 def rf_eval(spark, sf_dir):
-    return evaluate_experiment(by_language(spark, sf_dir), "rf", max_features=1000)
+    return _beats_majority(
+        evaluate_experiment(by_language(spark, sf_dir), "rf", hashed=HASHED_TERMS))
 
 
 @query
 def rf_svd_eval(spark, sf_dir):
-    return evaluate_experiment(by_language(spark, sf_dir), "rf_svd", max_features=1000, svd_k=50)
+    return _beats_majority(
+        evaluate_experiment(by_language(spark, sf_dir), "rf_svd", hashed=HASHED_TERMS))
 
 
 @query
 def mlp_eval(spark, sf_dir):
-    return evaluate_experiment(by_language(spark, sf_dir), "mlp", max_features=1000, svd_k=50)
+    return _beats_majority(
+        evaluate_experiment(by_language(spark, sf_dir), "mlp", hashed=HASHED_TERMS))

@@ -277,6 +277,22 @@ ORACLE: dict[str, str] = {
         select doc_id, idx, count(*) as n from tokens join vocab using (term) group by doc_id, idx""",
     "encode_labels": f"""select doc_id, type,
         (dense_rank() over (order by type) - 1)::int as label from {CORPUS}""",
+    **{name: """select lang as class, count(*) as support, true as beats_majority from documents
+        where substr(md5('42:' || doc_id), 1, 8) < '33333333' group by lang"""
+       for name in ("lr_eval", "rf_eval", "rf_svd_eval", "mlp_eval")},
+    "score_texts": """select conv_id, turn, true as ok from conversations
+        where trim(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') <> ''""",
+    "drop_empty_input": """select conv_id, turn,
+        trim(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') as text
+        from conversations
+        where trim(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') <> ''""",
+    "decode_labels": "select vec_id, 'c' || label as name from embeddings",
+    "corpus_to_weights": ETL + """ , train as (select type from (select * from ranged
+            qualify row_number() over (partition by posts order by row_id) = 1)
+            where substr(md5('42:' || row_id), 1, 8) >= '33333333'),
+        counts as (select type, count(*) as n from train group by type)
+        select type, n, round((select sum(n) from counts)::double
+            / ((select count(*) from counts) * n), 9) as weight from counts""",
     "split_train_val": (
         "select doc_id, substr(md5('42:' || doc_id), 1, 8) < '33333333' as is_val from documents"
     ),

@@ -29,7 +29,7 @@ def encoded(df, col="seq"):
     return {r.doc_id: list(r[col]) for r in df.collect() if r[col] is not None}
 
 
-def test_encode_in_row_equals_join(corpus, monkeypatch):
+def test_encode_in_row_equals_join(corpus):
     filled = corpus.fillna("", ["posts"])
     vocab = sequences.fit_sequence_vocab(filled, num_words=5)
     want = {1: [3, 4, 2], 2: [4, 2, 2], 3: [], 4: [3, 1, 1], 5: []}
@@ -37,8 +37,20 @@ def test_encode_in_row_equals_join(corpus, monkeypatch):
     plan = sequences.encode_sequences(filled, vocab, num_words=5)._jdf.queryExecution()
     outer = plan.executedPlan().toString().split("Subquery")[0]
     assert "Exchange" not in outer and "Join" not in outer
-    monkeypatch.setattr(sequences, "LOOKUP_WORDS", 1)
-    assert encoded(sequences.encode_sequences(filled, vocab, num_words=5)) == want
+    assert encoded(sequences.encode_sequences(filled, vocab, num_words=5, method="join")) == want
+
+
+def test_both_methods_on_repeated_ids_and_nulls(spark):
+    rows = [(1, "a b a"), (1, "c"), (2, None), (3, ""), (None, "b"), (1, "a b a")]
+    df = spark.createDataFrame(rows, "doc_id long, posts string")
+    vocab = spark.createDataFrame([("a", 2), ("b", 3)], "word string, idx int")
+    got = [
+        sorted(sequences.encode_sequences(df, vocab, method=m).collect(), key=str) for m in ("row", "join")
+    ]
+    assert got[0] == got[1]
+    assert sorted(str(r.seq) for r in got[0]) == sorted(map(str, [[2, 3, 2], [1], None, [], [3], [2, 3, 2]]))
+    with pytest.raises(ValueError):
+        sequences.encode_sequences(df, vocab, method="other")
 
 
 @pytest.mark.parametrize("maxlen", [1, 2, 3, 5])

@@ -4,6 +4,7 @@ from collections import Counter
 import pytest
 
 from labeltext.operators import evaluate, features, filters, stats, topk
+from labeltext.operators.dedup import dedup_first
 from labeltext.operators.topk import build_vocab
 
 ROWS = [
@@ -171,3 +172,32 @@ def test_log_loss(spark):
     df = spark.createDataFrame([(0, [0.5, 0.5]), (1, [1.0, 0.0])], "label int, probability array<double>")
     want = (-math.log(0.5 + 1e-10) - math.log(1e-10)) / 2
     assert evaluate.log_loss(df).first()[0] == pytest.approx(want)
+
+
+def test_missing_values_in_evaluation(spark):
+    """A missing prediction is a miss, a missing label no row, a label off the array a certain loss."""
+    from labeltext.constants import LOG_LOSS_EPSILON
+
+    df = spark.createDataFrame([(0, 0), (1, None), (1, 1), (None, 1)], "label int, prediction int")
+    assert evaluate.accuracy(df).first()[0] == pytest.approx(2 / 3)
+    report = {r["class"]: r for r in evaluate.classification_report(df).collect()}
+    assert set(report) == {"0", "1", "accuracy", "macro avg", "weighted avg"}
+    assert report["accuracy"]["f1"] == pytest.approx(2 / 3) and report["1"]["recall"] == 0.5
+    cells = {(r.label, r.prediction): r.n for r in evaluate.confusion_matrix(df).collect()}
+    assert cells == {(0, 0): 1, (0, 1): 0, (1, 0): 0, (1, 1): 1, (1, None): 1}
+    p = spark.createDataFrame([(0, [0.5, 0.5]), (5, [0.5, 0.5]), (None, [1.0])], "label int, probability array<double>")
+    want = (-math.log(0.5 + LOG_LOSS_EPSILON) - math.log(LOG_LOSS_EPSILON)) / 2
+    assert evaluate.log_loss(p).first()[0] == pytest.approx(want)
+
+
+def test_rows_without_a_class(spark):
+    df = spark.createDataFrame([("a",), (None,), ("b",)], "type string")
+    assert [tuple(r) for r in stats.class_distribution(df).collect()] == [("a", 1, 50.0), ("b", 1, 50.0)]
+    assert {r.type: r.weight for r in stats.class_weights(df).collect()} == {"a": 1.0, "b": 1.0}
+
+
+def test_dedup_is_hash_based(spark):
+    df = spark.createDataFrame([(1, "x", "a"), (2, "x", "b"), (3, None, "c"), (4, "", "d"), (5, None, "e")], "id long, k string, v string")
+    first = dedup_first(df, "k", "id")
+    assert sorted(r.id for r in first.collect()) == [1, 3, 4] and first.columns == ["id", "k", "v"]
+    assert "SortAggregate" not in first._jdf.queryExecution().executedPlan().toString()
