@@ -35,6 +35,9 @@ ALIKE = 0.55
 BLOCK_SHINGLES = 8_000_000
 ROUNDS = 3
 
+#: Edges of the candidate graph in one task of a round.
+EDGES_PER_TASK = 500_000
+
 _SEEDS = mix(np.arange(1, 2 * HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -133,7 +136,7 @@ def candidates(reps: DataFrame) -> DataFrame:
     # the signature from the order's own hashes on, low byte of each hash: sorts by deeper prefixes
     turned = F.expr(
         f"concat(substring(sig, tree * {4 * DEPTH} + 1, {4 * HASHES}), substring(sig, 1, tree * {4 * DEPTH}))")
-    held = materialize(held.select("region", turned.alias("sig"), "id"), "neighbours")
+    held = held.select("region", turned.alias("sig"), "id")
     parts = max(1, int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ordered = held.repartitionByRange(parts, "region", "sig", "id").sortWithinPartitions("region", "sig", "id")
 
@@ -175,13 +178,15 @@ def components(edges: DataFrame) -> DataFrame:
     edges = materialize(edges, "edges")
     before = None
     while True:
+        n = before[0] if before else edges.count()
+        parts = n // EDGES_PER_TASK + 1  # few edges need few files
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = materialize(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), "stars")
+        least = materialize(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")).coalesce(parts), "stars")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = materialize(large.where("u <> v").distinct(), "edges")
-        least = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "stars")
+        large = materialize(large.where("u <> v").distinct().coalesce(parts), "edges")
+        least = materialize(large.groupBy("u").agg(F.min("v").alias("m")).coalesce(parts), "stars")
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = materialize(small.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "edges")
+        edges = materialize(small.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct().coalesce(parts), "edges")
         now = edges.agg(F.count("*"), F.sum(F.expr("xxhash64(u, v) & 4294967295"))).first()
         if now == before:
             break

@@ -172,7 +172,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return own[1], ids[own[0].astype(np.int64)]
 
     names = _scan(named, anchors, "name bigint, id bigint").groupBy("name").agg(F.min("id").alias("a"), F.max("id").alias("b"))
-    shared = key_filter(names.where("a < b").select(F.col("name").alias("key")))
+    shared = key_filter(materialize(names.where("a < b").select(F.col("name").alias("key")), "names"))
 
     def stretches(p: Parsed, ids: np.ndarray):
         first, last, _ = p.stretches(p.suspects(shared))
