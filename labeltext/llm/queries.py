@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labeltext.llm import ann, bpe, fingerprints, mixing, neardup, secrets, substrings, suffixtree, toxicity, urls
+from labeltext.llm.sql import ORACLE
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -99,4 +100,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pu_toxicity": op9_pu_toxicity,
     "op10_pfair_mix": op10_pfair_mix,
 }
-ORACLE: dict[str, str] = {}
+
+__all__ = ["ORACLE", "QUERIES", "SOURCE_PARTS"]
