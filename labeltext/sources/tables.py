@@ -12,6 +12,36 @@ CORPUS_COLUMNS = ("type", "posts")
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
 
 
+#: Bits of a row's number within its file.
+_ROW_BITS = 40
+
+
+def _in_read_order(df: DataFrame, fmt: str):
+    """A row number that follows file names, then the order within each file.
+
+    Spark hands out splits by size, so its own numbers depend on the cluster. A
+    CSV file with line breaks in fields is read by one task, whose numbers rise
+    along the file; parquet tells each row's place. Other formats are numbered by
+    block and then as they are read.
+    """
+    files = sorted(df.inputFiles())
+    ranks = df.sparkSession.createDataFrame(
+        [(f, i) for i, f in enumerate(files)], "_file string, _rank long"
+    )
+    within = (1 << 33) - 1  # the part of Spark's number that counts rows within a task
+    if fmt == "parquet":
+        place = F.col("_metadata.row_index")
+    elif fmt == "csv":
+        place = F.monotonically_increasing_id().bitwiseAND(F.lit(within))
+    else:
+        place = F.col("_metadata.file_block_start") + F.monotonically_increasing_id().bitwiseAND(F.lit(within))
+    placed = df.select("*", F.input_file_name().alias("_file"), place.alias("_place"))
+    # one row per input file, a list the driver holds anyway
+    return placed.join(F.broadcast(ranks), "_file", "left"), (
+        F.shiftleft(F.coalesce("_rank", F.lit(0).cast("long")), _ROW_BITS) + F.col("_place")
+    )
+
+
 def _read(
     spark: SparkSession, path: str, columns, id_col: str, fmt: str, partitions: int | None,
     id_from: str | None,
@@ -23,7 +53,10 @@ def _read(
         df = reader.options(**CSV_OPTIONS).csv(path)
     else:
         df = reader.format(fmt).load(path)
-    row_id = F.col(id_from).cast("long") if id_from else F.monotonically_increasing_id()
+    if id_from:
+        row_id = F.col(id_from).cast("long")
+    else:
+        df, row_id = _in_read_order(df, fmt)
     df = df.select(row_id.alias(id_col), *[F.col(c).cast("string").alias(c) for c in columns])
     return df.repartition(partitions) if partitions else df
 
@@ -35,8 +68,8 @@ def read_posts(
     """Raw posts ``(row_id, author_flair_text, body)``.
 
     ``id_from`` names an id column of the input, which is what "first" goes by
-    later. Without one, ids follow the read order: within a file that is the
-    file's own order. A CSV file with line breaks in fields is read by one task,
+    later. Without one, ids follow file names and then the order within each file,
+    however the files are split over tasks. A CSV file with line breaks in fields is read by one task,
     so large inputs should come as many files, or as parquet; ``partitions``
     spreads the rows of a few large files.
     """

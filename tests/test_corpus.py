@@ -127,3 +127,21 @@ def test_corpus_formats(spark, tmp_path):
         write_corpus(df, str(tmp_path / fmt), fmt)
         back = read_corpus(spark, str(tmp_path / fmt), fmt, id_from="doc_id")
         assert sorted(back.collect()) == sorted(df.collect())
+
+
+def test_first_in_file_over_unequal_files(spark, tmp_path):
+    """The small file comes first by name, though Spark reads the large one first."""
+    from labeltext.sources import read_posts
+
+    folder = tmp_path / "posts"
+    folder.mkdir()
+    (folder / "a.csv").write_text('author_flair_text,body\nINTJ,same body\n')
+    rows = ["ENFP,same body"] + [f"ENFP,other body {i}" for i in range(5000)]
+    (folder / "b.csv").write_text("author_flair_text,body\n" + "\n".join(rows) + "\n")
+    posts = read_posts(spark, str(folder))
+    first = posts.filter("body = 'same body'").orderBy("row_id").collect()
+    assert [r.author_flair_text for r in first] == ["INTJ", "ENFP"]
+    assert posts.select("row_id").distinct().count() == 5002
+    posts.drop("row_id").repartitionByRange(3, "body").write.parquet(str(tmp_path / "p"))
+    again = read_posts(spark, str(tmp_path / "p"), "parquet")
+    assert again.select("row_id").distinct().count() == 5002
