@@ -432,7 +432,7 @@ def corpus_to_weights(spark, sf_dir):
 # --- model jobs ---------------------------------------------------------------
 
 #: Columns that all terms are summed into where a model's memory grows with the width.
-HASHED_TERMS = 16_384
+HASHED_TERMS = 4_096
 
 
 def _beats_majority(report: DataFrame) -> DataFrame:
