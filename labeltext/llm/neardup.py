@@ -3,7 +3,8 @@
 Minhash signatures are sorted in several orders (rotations of the signature).
 Neighbours of an order whose longest common prefix has DEPTH hashes or more are
 candidates; regions with more rows than WINDOW are told apart by deeper prefixes.
-Candidates form clusters, and within a cluster links are found exactly.
+Candidates form clusters, and within a cluster links are found exactly: in one task,
+or, if it is too large for one, by a join on the rarest shingles of each set.
 """
 
 from __future__ import annotations
@@ -30,11 +31,15 @@ WINDOW = 8
 ALIKE = 0.55
 
 #: Shingles in one task's block of a cluster. A larger cluster is cut into blocks in
-#: ROUNDS ways, each candidate pair of it is a block too, and what any block links is
-#: linked.
+#: ROUNDS ways, which link most of it cheaply; a join finds every link that is left.
 BLOCK_SHINGLES = 8_000_000
 ROUNDS = 3
 
+#: Slots of the counts by which shingles are ordered in that join (they decide what it
+#: costs, not what it finds), and rows of one shingle that are compared in one task.
+SLOT_BITS = 22
+CHUNK = 256
+
 #: Edges of the candidate graph in one task of a round.
 EDGES_PER_TASK = 500_000
 
@@ -271,6 +276,140 @@ def _linked(members: DataFrame, k: int, share: int) -> DataFrame:
     return ordered.mapInArrow(run, "a bigint, b bigint")
 
 
+def _sets(members: DataFrame, k: int) -> DataFrame:
+    """``(id, label, h)`` of ``members (id, label, text)``: sorted distinct shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, bounds, h in shingle_sets(batch.column(2), k):
+                rows = len(bounds) - 1
+                lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(h.view(np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(first, rows), batch.column(1).slice(first, rows), lists], ["id", "label", "h"])
+
+    return members.select("id", "label", "text").mapInArrow(run, "id bigint, label bigint, h array<bigint>")
+
+
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """``(bounds, hashes)`` of a column of arrays."""
+    bounds = column.offsets.to_numpy().astype(np.int64)
+    return bounds - bounds[0], column.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+
+
+def _slot(h: np.ndarray) -> np.ndarray:
+    return (mix(h) >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
+
+
+def _levels(sets: DataFrame) -> np.ndarray:
+    """How common the shingles of each slot are, as bits of their count: 4 MB whatever comes in."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slot, n = np.unique(_slot(_lists(batch.column(0))[1]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(n.astype(np.int64))], ["slot", "n"])
+
+    table = sets.select("h").mapInArrow(run, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(1 << SLOT_BITS, np.uint8)
+    out[table.column("slot").to_numpy()] = np.frexp(table.column("n").to_numpy().astype(float))[1]
+    return out
+
+
+def _prefix_keys(sets: DataFrame, levels: np.ndarray, share: int) -> DataFrame:
+    """``(key, id, label, n, place)``: the rarest shingles of each set, as many as a link needs one of.
+
+    Of two linked sets, the shingle that comes first among those they share is in both
+    prefixes: at least ``share`` percent of a set are shared.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bounds, h = _lists(batch.column(2))
+            n = np.diff(bounds)
+            row = np.repeat(np.arange(len(n)), n)
+            h = h[np.lexsort((h, levels[_slot(h)], row))]
+            place = np.arange(len(h)) - bounds[row]
+            keep = np.flatnonzero(place <= n[row] + -share * n[row] // 100)
+            row = row[keep]
+            ids, labels = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(h[keep].view(np.int64)), pa.array(ids[row]), pa.array(labels[row]), pa.array(n[row]), pa.array(place[keep])],
+                ["key", "id", "label", "n", "place"])
+
+    return sets.select("id", "label", "h").mapInArrow(run, "key bigint, id bigint, label bigint, n bigint, place bigint")
+
+
+def _prefix_pairs(keys: DataFrame, share: int) -> DataFrame:
+    """``(a, b)``: ids with different labels that share a key and may be linked by their sizes and places.
+
+    Rows of a key are dealt over chunks, and each two chunks meet in one block, so a
+    common key is spread over tasks. Keys whose rows are all linked already are left out.
+    """
+    live = keys.groupBy("key").agg(F.count("*").alias("c"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    live = live.where("c > 1 and lo <> hi").select("key", F.ceil(F.col("c") / CHUNK).alias("chunks"))
+    held = keys.join(live, "key").withColumn("part", F.pmod(F.xxhash64("id"), F.col("chunks")))
+    held = held.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
+    held = held.select(
+        F.xxhash64("key", F.least("part", "other"), F.greatest("part", "other")).alias("block"),
+        "part", (F.col("part") != F.col("other")).alias("cross"), "id", "label", "n", "place")
+    parts = max(1, int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ordered = held.repartition(parts, "block").sortWithinPartitions("block")
+
+    def close(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        block, part, cross, ids, label, n, place = columns
+        left = n - place
+        found = [np.zeros((0, 2), np.int64)]
+        i, back = np.arange(len(block)), 0
+        while len(i):
+            back += 1
+            i = i[i + back < len(block)]
+            i = i[block[i] == block[i + back]]
+            j = i + back
+            ok = (label[i] != label[j]) & (~cross[i] | (part[i] != part[j]))
+            ok &= 100 * np.minimum(n[i], n[j]) >= share * np.maximum(n[i], n[j])
+            ok &= (100 + share) * np.minimum(left[i], left[j]) >= share * (n[i] + n[j])
+            found.append(np.stack([np.minimum(ids[i], ids[j])[ok], np.maximum(ids[i], ids[j])[ok]], 1))
+        pairs = np.concatenate(found)
+        return np.unique(pairs, axis=0).T if len(pairs) else pairs.T
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            now = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            held = now if held is None else [np.concatenate(x) for x in zip(held, now)]
+            last = np.searchsorted(held[0], held[0][-1])  # the block that may go on
+            a, b = close([c[:last] for c in held])
+            held = [c[last:] for c in held]
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+        if held is not None:
+            a, b = close(held)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    return ordered.mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def _joined_links(members: DataFrame, k: int, share: int) -> DataFrame:
+    """``(a, b)``: all links between ids of ``members (id, label, text)`` that have different labels."""
+    sets = materialize(_sets(members, k), "sets")
+    keys = materialize(_prefix_keys(sets, _levels(sets), share), "keys")
+    pairs = materialize(_prefix_pairs(keys, share), "pairs")
+    one = sets.select(F.col("id").alias("a"), F.col("h").alias("of_a"))
+    two = sets.select(F.col("id").alias("b"), F.col("h").alias("of_b"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            (at, x), (to, y) = _lists(batch.column(2)), _lists(batch.column(3))
+            linked = np.zeros(batch.num_rows, bool)
+            for i in range(batch.num_rows):
+                first, second = x[at[i] : at[i + 1]], y[to[i] : to[i + 1]]
+                both = len(np.intersect1d(first, second, assume_unique=True))
+                linked[i] = 100 * both >= share * (len(first) + len(second) - both)
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(linked)) for c in batch.columns[:2]], ["a", "b"])
+
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "of_a", "of_b").mapInArrow(run, "a bigint, b bigint")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
                     share: int = 80, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """``(id, n_shingles, component_id, kept)`` for every row of ``docs``.
@@ -297,21 +436,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sizes = clusters.join(reps.select("id", "n"), "id").groupBy("component").agg(F.sum("n").alias("total"))
     large = materialize(sizes.where(F.col("total") > block_shingles), "large")
     block = clusters.join(large, "component", "left_anti").select("id", F.col("component").alias("block"))
-    split = bool(large.take(1))
-    if split:
-        wide = clusters.join(large, "component").withColumn("round", F.explode(F.sequence(F.lit(1), F.lit(ROUNDS))))
-        place = F.pmod(F.xxhash64("id", "round"), F.ceil(F.col("total") / block_shingles))
-        wide = wide.select("id", F.xxhash64("component", "round", place).alias("block"))
-        near = pairs.join(clusters.select(F.col("id").alias("a"), "component"), "a").join(large, "component", "left_semi")
-        near = near.select(F.explode(F.array("a", "b")).alias("id"), F.xxhash64("a", "b", F.lit("pair")).alias("block"))
-        block = block.unionByName(wide).unionByName(near)
+    wide = clusters.join(large, "component").withColumn("round", F.explode(F.sequence(F.lit(1), F.lit(ROUNDS))))
+    place = F.pmod(F.xxhash64("id", "round"), F.ceil(F.col("total") / block_shingles))
+    block = block.unionByName(wide.select("id", F.xxhash64("component", "round", place).alias("block")))
     # only texts of clusters are shuffled, and they are at any size
     block = materialize(block, "blocks")
     inside = key_filter(block.select(F.col("id").alias("key")))
     texts = rows_in(named.where("id is not null"), "id", inside)
     chosen = block.hint("merge").join(texts, "id")
     links = materialize(_linked(chosen.select("block", "id", "text"), k, share), "links")
-    found = components(links) if split else links.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component"))
+    open_ = materialize(clusters.join(large, "component", "left_semi").select("id"), "open")
+    if open_.take(1):
+        found = materialize(components(links), "linked")
+        labelled = open_.join(found, "id", "left").select("id", F.coalesce("component", "id").alias("label"))
+        texts = rows_in(named.where("id is not null"), "id", key_filter(open_.select(F.col("id").alias("key"))))
+        more = materialize(_joined_links(labelled.hint("merge").join(texts, "id"), k, share), "joined")
+        found = components(links.unionByName(more))
+    else:
+        found = links.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component"))
     found = found.withColumnRenamed("id", "rep")
 
     own = reps.select("set_a", "set_b", F.col("id").alias("rep")).join(found, "rep", "left").select(
