@@ -2,9 +2,10 @@
 
 Minhash signatures are sorted in several orders (rotations of the signature).
 Neighbours of an order whose longest common prefix has DEPTH hashes or more are
-candidates; regions with more rows than WINDOW are told apart by deeper prefixes.
-Candidates form clusters, and within a cluster links are found exactly: in one task,
-or, if it is too large for one, by a join on the rarest shingles of each set.
+candidates. Candidates form clusters, and within a cluster links are found exactly, in
+one task. A join on the rarest shingles of each set finds all other links of rows
+that the window does not settle: those of clusters too large for a task and of regions
+with more rows than the window holds.
 """
 
 from __future__ import annotations
@@ -25,8 +26,9 @@ from labeltext.session import materialize
 ORDERS, DEPTH = 20, 3
 HASHES = ORDERS * DEPTH
 
-#: Rows before it in an order that a row is compared with, and the share of equal
-#: hashes from which a pair is a candidate (five standard errors below 0.8).
+#: Rows before it in an order that a row is compared with (all of its region, unless it
+#: is crowded; crowded rows are joined exactly), and the share of equal hashes from
+#: which a pair is a candidate (five standard errors below 0.8).
 WINDOW = 8
 ALIKE = 0.55
 
@@ -133,17 +135,29 @@ def _forest(links: list[tuple[int, int]], root: dict[int, int]):
             yield a, b
 
 
-def candidates(reps: DataFrame) -> DataFrame:
-    """``(a, b)``: pairs of ids that connect all neighbours that look alike."""
+def regions(reps: DataFrame) -> DataFrame:
+    """``(region, tree, id, crowded)`` of regions with more rows than one; crowded: more than the window holds."""
     keys = materialize(_region_keys(reps), "regions")
-    crowded = materialize(keys.groupBy("region").agg(F.count("*").alias("c")).where("c > 1").select("region"), "crowded")
-    held = keys.join(crowded, "region").join(reps.select("id", "sig"), "id")
+    sizes = keys.groupBy("region").agg(F.count("*").alias("c")).where("c > 1")
+    sizes = materialize(sizes.select("region", (F.col("c") > WINDOW + 1).alias("crowded")), "sizes")
+    return materialize(keys.join(sizes, "region"), "shared")
+
+
+def candidates(reps: DataFrame, shared: DataFrame) -> DataFrame:
+    """``(a, b)``: pairs of ids that connect all neighbours that look alike.
+
+    ``shared`` is ``regions(reps)``. A region that is not crowded stays in one task, and
+    all its pairs are looked at; a crowded one is sorted over tasks.
+    """
+    held = shared.join(reps.select("id", "sig"), "id")
     # the signature from the order's own hashes on, low byte of each hash: sorts by deeper prefixes
     turned = F.expr(
         f"concat(substring(sig, tree * {4 * DEPTH} + 1, {4 * HASHES}), substring(sig, 1, tree * {4 * DEPTH}))")
-    held = held.select("region", turned.alias("sig"), "id")
+    held = held.select("region", turned.alias("sig"), "id", "crowded")
     parts = max(1, int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ordered = held.repartitionByRange(parts, "region", "sig", "id").sortWithinPartitions("region", "sig", "id")
+    columns = ["region", "sig", "id"]
+    whole = held.where("not crowded").select(columns).repartition(parts, "region").sortWithinPartitions(columns)
+    ordered = held.where("crowded").select(columns).repartitionByRange(parts, *columns).sortWithinPartitions(columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_region, last_sig, last_id = np.zeros(0, np.int64), np.zeros((0, HASHES), np.uint32), np.zeros(0, np.int64)
@@ -168,7 +182,8 @@ def candidates(reps: DataFrame) -> DataFrame:
                 a, b = np.array(pairs, np.int64).T
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
-    return ordered.mapInArrow(run, "a bigint, b bigint").distinct()
+    found = whole.mapInArrow(run, "a bigint, b bigint").unionByName(ordered.mapInArrow(run, "a bigint, b bigint"))
+    return found.distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -422,14 +437,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Equal sets become one class before anything else, so copies cost a row per
     task. Signatures, not texts, are sorted; only texts in a cluster of candidates
-    are compared. ``share`` under 80 would need more orders than ORDERS.
+    or in a crowded region are compared. ``share`` under 80 would need more orders than ORDERS.
     """
     named = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     sigs = materialize(signatures(named, "id", "text", k), "signatures")
     classes = sigs.where("n > 0 and id is not null").groupBy("set_a", "set_b").agg(
         F.min("id").alias("id"), F.first("sig").alias("sig"), F.first("n").alias("n"))
     reps = materialize(classes, "classes")
-    pairs = materialize(candidates(reps), "candidates")
+    shared = regions(reps)
+    pairs = materialize(candidates(reps, shared), "candidates")
     clusters = materialize(components(pairs), "clusters")
 
     # a cluster is one block, or as many as its shingles need
@@ -445,7 +461,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = rows_in(named.where("id is not null"), "id", inside)
     chosen = block.hint("merge").join(texts, "id")
     links = materialize(_linked(chosen.select("block", "id", "text"), k, share), "links")
-    open_ = materialize(clusters.join(large, "component", "left_semi").select("id"), "open")
+    open_ = clusters.join(large, "component", "left_semi").select("id").unionByName(shared.where("crowded").select("id"))
+    open_ = materialize(open_.distinct(), "open")
     if open_.take(1):
         found = materialize(components(links), "linked")
         labelled = open_.join(found, "id", "left").select("id", F.coalesce("component", "id").alias("label"))

@@ -41,3 +41,10 @@ def test_links_in_a_large_cluster_are_exact(spark):
         check_copies(spark, 1, 300, 117, 23, block_shingles=1_500)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_crowded_regions_are_settled(spark, monkeypatch):
+    """Many rows that are no candidates lie between the copies; what the window does not see is joined."""
+    monkeypatch.setattr(neardup, "WINDOW", 1)
+    monkeypatch.setattr(neardup, "ALIKE", 0.7)  # the passage alone makes no cluster
+    check_copies(spark, 2, 600, 67, 33)
