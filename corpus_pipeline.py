@@ -7,8 +7,10 @@ shared folder and reads it back, so a lost executor never costs an earlier stage
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from labeltext.llm import bpe, mixing, neardup, secrets, toxicity
 from labeltext.llm.queries import SOURCE_PARTS
@@ -43,12 +45,34 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return ordered.select(*(f"`{c}`" for c in docs.columns))
 
 
+def mix_position(docs: DataFrame) -> DataFrame:
+    """``docs`` as read from the files of the mix, with ``position``: row n of the mix, from 0.
+
+    Files follow one another by name and rows by their place in the file; only one row
+    per file is counted together. Rows that were not read from files have no position.
+    """
+    try:
+        placed = docs.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+    except AnalysisException:
+        return docs.withColumn("position", F.lit(None).cast("bigint"))
+    files = placed.groupBy("_file").agg(F.count("*").alias("_n"))
+    name = F.element_at(F.split("_file", "/"), -1)
+    before = Window.orderBy(F.length(name), name).rowsBetween(Window.unboundedPreceding, -1)
+    starts = files.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    placed = placed.join(F.broadcast(starts), "_file")  # a row per file
+    return placed.withColumn("position", F.col("_start") + F.col("_at")).drop("_file", "_at", "_start")
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, with digests of the ids and of the decoded bytes."""
+    """Token ids of every document, with its place in the mix and digests of the ids and of the decoded bytes."""
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return bpe.encode_texts(docs, path, public_tokenizers.PATTERN)
+    # the place travels with the id, which need not be unique
+    placed = mix_position(docs).select(F.struct("doc_id", "position").alias("_place"), "text")
+    coded = bpe.encode_texts(placed, path, public_tokenizers.PATTERN, id_col="_place")
+    rest = [c for c in coded.columns if c != "_place"]
+    return coded.select("_place.doc_id", "_place.position", *rest)
 
 
 STAGES = [

@@ -1,0 +1,15 @@
+"""The order of the mix is part of the pipeline's result."""
+
+import corpus_pipeline
+
+from labeltext.llm import mixing
+from labeltext.llm.queries import SOURCE_PARTS
+
+
+def test_encoded_rows_carry_their_place_in_the_mix(spark, some_docs):
+    docs = some_docs[0]
+    mixed = corpus_pipeline.materialize(corpus_pipeline.mix_sources(spark, docs, ""), "mixed")
+    got = corpus_pipeline.encode(spark, mixed, "").select("doc_id", "position").collect()
+    slots = mixing.interleave(docs, SOURCE_PARTS).orderBy("_slot", "_offset").select("doc_id").collect()
+    assert [r["position"] for r in sorted(got, key=lambda r: r["position"])] == list(range(docs.count()))
+    assert [r["doc_id"] for r in sorted(got, key=lambda r: r["position"])] == [r["doc_id"] for r in slots]
