@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labeltext.llm import ann, bpe, fingerprints, mixing, neardup, secrets, substrings, suffixtree, toxicity, urls
+from labeltext.llm import (
+    ann, bpe, conversations, fingerprints, lexical, mixing, neardup, secrets, substrings, suffixtree, tokenfile, toxicity,
+    urls,
+)
 from labeltext.llm.sql import ORACLE
+from labeltext.session import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,6 +92,22 @@ def op10_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(table(spark, sf_dir, "conversations"), damage=True)
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = scratch_path(spark, "token-files")
+    tokenfile.write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return tokenfile.read_token_files(spark, path, keep_ids=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_tree": op1_suffix_tree,
     "op2_byte_bpe": op2_byte_bpe,
@@ -99,6 +119,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_vp_trees": op8_vp_trees,
     "op9_pu_toxicity": op9_pu_toxicity,
     "op10_pfair_mix": op10_pfair_mix,
+    "op11_norm_buckets": op11_norm_buckets,
+    "op12_turn_repair": op12_turn_repair,
+    "op13_token_files": op13_token_files,
 }
 
 __all__ = ["ORACLE", "QUERIES", "SOURCE_PARTS"]

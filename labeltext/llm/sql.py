@@ -80,9 +80,89 @@ ranked as (select query_id, (row_number() over (partition by query_id order by s
     vec_id, score from scored)
 select * from ranked where rank <= 20"""
 
+TERMS = f"regexp_extract_all({LOWER}, '[0-9A-Za-z\\x{{80}}-\\x{{10FFFF}}]+')"
+
+RANKED = f"""with docs as (select doc_id, {TERMS} as w from documents where {TERMS} <> []),
+sizes as (select count(*) as all_docs, sum(len(w))::hugeint as all_terms from docs),
+queries as (select row_number() over () as q, item_id, list_distinct({TERMS}) as w from benchmark),
+wanted as (select q, item_id, unnest(w) as t from queries),
+words as (select doc_id, len(w) as n, unnest(w) as t from docs),
+counts as (select doc_id, n, t, count(*)::bigint as tf from words where t in (select t from wanted) group by all),
+weights as (select t, floor(1000 * ln((2 * any_value(all_docs) + 2) / (2 * count(*) + 1)))::bigint as w
+    from counts, sizes group by t),
+impacts as (select doc_id, t, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n::hugeint * all_docs) // all_terms)))::bigint as s
+    from counts join weights using (t), sizes),
+scores as (select q, item_id, doc_id, sum(s)::bigint as score from wanted join impacts using (t) group by all),
+ranked as (select *, row_number() over (partition by q order by score desc, doc_id)::int as rank from scores where score > 0)
+select item_id, rank, doc_id, score from ranked where rank <= 10"""
+
+#: CRC-32 of a text of ASCII characters: the table of its bytes by rule, then byte by byte.
+CRC_TABLE = """(select list(v order by i) from (select i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as v from range(256) r(i)))"""
+
+
+def crc32(text: str) -> str:
+    return f"""xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(string_split({text}, ''),
+        lambda x: ascii(x)::bigint)), lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255) + 1])))"""
+
+
+def _repairs() -> str:
+    """Cheapest repairs row by row: of each state of the turn order the least (cost, edits), a struct."""
+    best = lambda *xs: "list_sort([" + ", ".join(xs) + "])[1]"
+    edit = lambda s, cost, letter, turn="": (
+        f"{{'c': {s}.c + {cost}, 'a': {s}.a || '{letter}', 't': " + (f"list_append({s}.t, {turn})" if turn else f"{s}.t") + "}")
+    sure = lambda s, ok, cost, letter, turn: edit(s, f"case when {ok} then {cost} else 1000000000 end", letter, turn)
+    free = "fault not in ('blank', 'duplicate')"
+    more = "(case fault when 'truncated' then 5 else 0 end)"
+    keep = lambda s, x: sure(s, f"{free} and x = '{x}'", more, "K", "role || ':' || text")
+    rerole = lambda s, role: sure(s, free, f"1 + {more}", "R", f"'{role}:' || text")
+    insert = lambda s, role: edit(s, 5, "I", f"'{role}:'")
+    delete = lambda s: edit(s, 2, "D")
+    none = "{'c': 1000000000::bigint, 'a': '', 't': []::varchar[]}"
+    return f"""with recursive hit as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    {crc32("coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')")} % 20 as k
+    from conversations, (select {CRC_TABLE} as crc_table)),
+lines as (select conv_id, turn, case k when 4 then 'user' else role end as role,
+    case k when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+    unnest(case k when 0 then [] when 3 then [0, 1] else [0] end) as copy from hit),
+seen as (select *, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as body,
+    row_number() over (partition by conv_id order by turn nulls first, role, md5(text), copy) as p,
+    row_number() over (partition by conv_id, role, text order by turn nulls first, copy) > 1 as again from lines),
+placed as (select *, role[1] as x, case when body = '' then 'blank' when again then 'duplicate'
+    when right(body, 1) not in ('.', '!', '?') then 'truncated' else '' end as fault,
+    lag(role[1]) over (partition by conv_id order by p) as y from seen),
+convs as (select distinct conv_id from conversations),
+counts as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint as gaps,
+    count(*) filter (fault = 'blank') as blank, count(*) filter (fault = 'duplicate') as duplicate,
+    count(*) filter (fault = 'truncated') as truncated,
+    count(*) filter (p > 1 and y || x not in ('su', 'ua', 'au')) as illegal, count(*) as n from placed group by conv_id),
+steps as (
+    select conv_id, 0::bigint as p, {{'c': 0::bigint, 'a': '', 't': []::varchar[]}} as s0,
+        {none} as s1, {none} as s2, {none} as s3 from convs
+    union all
+    select conv_id, p, {delete("s0")}, {best(delete("s1"), keep("s0", "s"))},
+        {best(delete("s2"), *(f(s, u) for s in ("s0", "s1", "s3") for f, u in ((keep, "u"), (rerole, "user"))))},
+        {best(delete("s3"), keep("s2", "a"), rerole("s2", "assistant"))}
+    from (select v.conv_id, v.p, role, text, x, fault, s0, s1,
+            {best("s2", insert("s0", "user"), insert("s1", "user"), insert("s3", "user"))} as s2,
+            {best("s3", insert("s2", "assistant"))} as s3
+        from steps join placed v on v.conv_id is not distinct from steps.conv_id and v.p = steps.p + 1)),
+ends as (select s.conv_id, {best("s0", "s3", insert("s2", "assistant"))} as s
+    from steps s left join counts c on s.conv_id is not distinct from c.conv_id where s.p = coalesce(c.n, 0))
+select e.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank,
+    coalesce(duplicate, 0)::bigint as duplicate, coalesce(truncated, 0)::bigint as truncated,
+    coalesce(illegal, 0)::bigint as illegal, s.c::bigint as cost, s.a as audit,
+    sha256(array_to_string(s.t, chr(10))) as repaired_sha256
+from ends e left join counts c on e.conv_id is not distinct from c.conv_id"""
+
+
+REPAIRS = _repairs()
+
 ORACLE: dict[str, str] = {
     "op4_secret_ledger": SECRETS,
     "op5_recompression": REPEATS,
     "op6_lsh_forest": NEAR_COPIES,
     "op8_vp_trees": NEAREST,
+    "op11_norm_buckets": RANKED,
+    "op12_turn_repair": REPAIRS,
 }
