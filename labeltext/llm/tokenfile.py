@@ -23,38 +23,50 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from labeltext.llm.bpe import CACHE_SIZE, pieces_of, spaced
+from labeltext.llm.bpe import pieces_of
 
 #: Fixed values of the seekable format: mark of the skippable frame, last bytes of a file, flag for checksums.
 SKIPPABLE, FILE_END, HAS_CHECKSUMS = 0x184D2A5E, b"\xb1\xea\x92\x8f", 0x80
 
 #: Compressed bytes after which a file ends, and ids in one frame at most.
-FILE_BYTES, FRAME_IDS = 16 << 20, 1 << 20
+FILE_BYTES, FRAME_IDS = 8 << 20, 1 << 20
 
-LEVEL = 3
+#: Zstandard's level, and strings whose ids a worker remembers before a batch.
+LEVEL, CACHE_SIZE = 1, 400_000
+
+#: Fixed value: pre-tokens of byte-level tokenizers.
+PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 class Encoder:
     """Ids of texts by a tokenizer of the tokenizers library, given as its JSON.
 
     A byte-level tokenizer never lets a pre-token go on behind a single space between
-    two other characters. There texts may be cut first, and the library's ids of a
-    stretch, mostly a word, are remembered. Other tokenizers get whole texts.
+    two other characters, so texts are cut there, and every distinct stretch of a
+    batch is encoded once. A stretch of Latin characters is cut on into pre-tokens, whose
+    ids by the library are remembered. Other tokenizers get whole texts.
     """
 
     def __init__(self, text: str):
+        import regex
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core already
         self.model = Tokenizer.from_str(text)
         self.cut = re.compile(r"(?<=\S) (?=\S)").split
-        self.known: dict[str, bytes] = {}
+        self.find = regex.compile(PRE_TOKENS).findall
+        self.latin = re.compile(r"[\t\n\r -~\u00a1-\u024f]*").fullmatch
+        self.after: dict[str, bytes] = {}  # ids of what follows a space, the space included
+        self.plain: dict[str, bytes] = {}  # ids of strings without a space before them
         parts = json.loads(text)
         before = parts.get("pre_tokenizer") or {}
+        added = [x["content"] for x in parts.get("added_tokens") or ()]
+        self.added = re.compile("|".join(map(re.escape, added))).search if added else lambda _: None
         self.by_stretch = (
             not any(parts.get(x) for x in ("normalizer", "truncation", "padding"))
             and before.get("type") == "ByteLevel" and before.get("use_regex", True)
@@ -67,25 +79,65 @@ class Encoder:
         coded = self.model.encode_batch_fast(texts, add_special_tokens=False)
         return [struct.pack(f"<{len(c)}I", *c.ids) for c in coded]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def _tokens(self, tokens: Iterable[str], spaced: bool) -> dict[str, bytes]:
+        """What is remembered of pre-tokens, by what follows their space if ``spaced``, with the new ``tokens``."""
+        known = self.after if spaced else self.plain
+        new = [t for t in dict.fromkeys(tokens) if t not in known]
+        known.update(zip(new, self._by_library([" " + t for t in new] if spaced else new)))
+        return known
+
+    def _stretches(self, stretches: list[str], spaced: bool) -> list[bytes]:
+        """Ids of stretches without a single space, each after one space if ``spaced``."""
+        known, lead = self.after if spaced else self.plain, " " * spaced
+        if len(known) > CACHE_SIZE:  # common ones are among these
+            kept = {s: known[s] for s in stretches if s in known}
+            known.clear()
+            known.update(kept)
+        whole, mixed = [], []
+        for s in stretches:
+            if s not in known:
+                (whole if s.isalpha() or not self.latin(s) or self.added(s) else mixed).append(s)
+        self._tokens(whole, spaced)
+        parts = [self.find(lead + s) for s in mixed]
+        after = self._tokens((t[1:] for ts in parts for t in ts if t[0] == " "), True).__getitem__
+        plain = self._tokens((t for ts in parts for t in ts if t[0] != " "), False).__getitem__
+        known.update(zip(mixed, [b"".join([after(t[1:]) if t[0] == " " else plain(t) for t in ts]) for ts in parts]))
+        out = list(map(known.__getitem__, stretches))
+        for s in stretches:
+            if len(s) > 64:
+                known.pop(s, None)
+        return out
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text (null: empty) as little-endian unsigned 32-bit integers."""
+        texts = texts.fill_null("")
         if not self.by_stretch:
-            return self._by_library(texts)
-        rows = []
-        for t in texts:
-            head, *rest = self.cut(t) if spaced(t) else t.split(" ")
-            rows.append([head, *(" " + x for x in rest)])
-        wanted = set()
-        for row in rows:
-            wanted.update(row)
-        if len(self.known) > CACHE_SIZE:
-            self.known.clear()
-        new = list(wanted.difference(self.known))
-        self.known.update(zip(new, self._by_library(new)))
-        get = self.known.__getitem__
-        out = [b"".join(map(get, row)) for row in rows]
-        for x in new:
-            if len(x) > 64:
-                del self.known[x]
+            return self._by_library(texts.to_pylist())
+        if not len(texts):
+            return []
+        parts = pc.split_pattern(texts, " ")
+        flat = parts.flatten().dictionary_encode()
+        which, bounds = flat.indices.to_numpy().copy(), parts.offsets.to_numpy() - parts.offsets[0].as_py()
+        found = flat.dictionary
+        # a stretch that is empty or has white space at an end tells that another cut is needed
+        fine = pc.and_(pc.equal(found, pc.utf8_trim_whitespace(found)), pc.greater(pc.binary_length(found), 0))
+        odd = ~fine.to_numpy(zero_copy_only=False)
+        other = np.flatnonzero(np.add.reduceat(odd[which], bounds[:-1]))
+        found = pc.if_else(fine, found, "x").to_pylist()
+        heads = [found[i] for i in which[bounds[:-1]].tolist()]
+        place = {h: i for i, h in enumerate(dict.fromkeys(heads), len(found))}
+        which[bounds[:-1]] = [place[h] for h in heads]
+        codes = self._stretches(found, True) + self._stretches(list(place), False)
+        size = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
+        ids = np.frombuffer(b"".join(codes), "<u4")
+        start, n = (np.cumsum(size) - size)[which], size[which]
+        done = np.cumsum(n)
+        ids = ids[np.repeat(start - done + n, n) + np.arange(done[-1])].tobytes()
+        edges = (4 * np.r_[0, done][bounds]).tolist()
+        out = [ids[a:b] for a, b in zip(edges, edges[1:])]
+        for i in other.tolist():
+            head, *rest = self.cut(texts[i].as_py())
+            out[i] = b"".join(self._stretches([head], False) + self._stretches(rest, True))
         return out
 
 
@@ -203,8 +255,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, id_col: str =
         coder, file = encoder(model), FileBuilder()
         whole = lambda: pa.RecordBatch.from_arrays([pa.array([file.finish()], pa.binary())], ["value"])
         for batch in batches:
-            for part in pieces_of(batch):
-                codes = coder.encode([t or "" for t in part.column(1).to_pylist()])
+            for part in pieces_of(batch, size=6_000_000):
+                codes = coder.encode(part.column(1))
                 for doc_id, code in zip(part.column(0).to_pylist(), codes):
                     file.add(doc_id, code + end)
                     if file.size >= file_bytes:
