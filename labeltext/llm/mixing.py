@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from labeltext.llm.names import free_name, quoted
 from labeltext.session import materialize
 
 #: Rows of one source are numbered in so many groups, by a digest of the row.
@@ -86,13 +87,18 @@ def schedule(sizes: DataFrame, parts: dict[str, int]) -> DataFrame:
     )
 
 
+def result_names(columns: list[str]) -> dict[str, str]:
+    """Names of the new columns of ``interleave`` beside ``columns``: a taken one gets more underscores in front."""
+    return {n: free_name("_" + n, columns) for n in ("block", "release", "due", "slot", "offset")}
+
+
 def interleave(docs: DataFrame, parts: dict[str, int], rest_parts: int = 1, block_rows: int = 16,
                id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
     """Every row of ``docs`` with its place in the mix.
 
     New columns: ``_block`` (of its source, from 0), ``_release`` and ``_due`` (slots
     between which the block has to go), ``_slot`` and ``_offset`` (row within the
-    block). ``parts`` gives each source's weight in whole parts; all other sources,
+    block); see ``result_names`` for columns of ``docs`` that have such a name. ``parts`` gives each source's weight in whole parts; all other sources,
     null among them, share ``rest_parts`` as one. No row is dropped or repeated: a
     source that runs out leaves its share to the others. Within a source rows come
     in the order of a digest of the id, then of the row; empty input stays empty.
@@ -105,10 +111,13 @@ def interleave(docs: DataFrame, parts: dict[str, int], rest_parts: int = 1, bloc
     weights = {**parts, rest: rest_parts}
     if min(weights.values()) < 1 or 2 * len(weights) * sum(weights.values()) > MOST_SLOTS:
         raise ValueError(f"parts have to be positive; twice their sum times sources {MOST_SLOTS} at most")
-    source = F.coalesce(F.when(F.col(source_col).isin(list(parts)), F.col(source_col)), F.lit(rest))
+    source = F.coalesce(F.when(quoted(source_col).isin(list(parts)), quoted(source_col)), F.lit(rest))
     others = [c for c, t in docs.dtypes if c != id_col and not t.startswith("map")]
-    digest = F.md5(F.coalesce(F.col(id_col).cast("string"), F.to_json(F.struct(*others)) if others else F.lit("")))
-    rows = docs.withColumn("_source", source).withColumn("_digest", digest)
+    as_json = F.to_json(F.struct(*map(quoted, others))) if others else F.lit("")
+    digest = F.md5(F.coalesce(quoted(id_col).cast("string"), as_json))
+    # the caller's columns travel in one, so that no name of theirs meets one of these
+    rows = docs.select(F.struct(*map(quoted, docs.columns)).alias("row"), source.alias("_source"), digest.alias("_digest"))
+    cell = lambda c: F.col("row").getField(c)
     rows = rows.withColumn("_group", F.conv(F.substring("_digest", 1, 8), 16, 10).cast("bigint") % GROUPS)
     groups = materialize(rows.groupBy("_source", "_group").agg(F.count("*").alias("_n")), "groups")
     before = Window.partitionBy("_source").orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
@@ -116,7 +125,7 @@ def interleave(docs: DataFrame, parts: dict[str, int], rest_parts: int = 1, bloc
     sizes = groups.groupBy("_source").agg(F.ceil(F.sum("_n") / block_rows).alias("blocks")).withColumnRenamed("_source", "source")
     slots = schedule(sizes, weights)
 
-    within = Window.partitionBy("_source", "_group").orderBy("_digest", *(F.col(c) for c in [id_col, *others]))
+    within = Window.partitionBy("_source", "_group").orderBy("_digest", *map(cell, [id_col, *others]))
     rows = rows.withColumn("_at", F.row_number().over(within) - 1).join(starts, ["_source", "_group"])
     rows = rows.withColumn("_at", F.col("_at") + F.col("_start"))
     rows = rows.withColumn("_block", F.floor(F.col("_at") / block_rows)).withColumn("_offset", (F.col("_at") % block_rows).cast("int"))
@@ -126,7 +135,9 @@ def interleave(docs: DataFrame, parts: dict[str, int], rest_parts: int = 1, bloc
         (rows["_source"] == slots["source"]) & (rows["_j"] == slots["j"])
         & rows["_frame"].between(slots["first_frame"], slots["last_frame"])))
     begin = F.col("base") + (F.col("_frame") - F.col("first_frame")) * F.col("total")
+    new = result_names(docs.columns)
     return rows.select(
-        *(docs[c] for c in docs.columns), F.col("_block").cast("bigint"), (begin + F.col("release")).alias("_release"),
-        (begin + F.col("due")).alias("_due"), (begin + F.col("slot")).alias("_slot"), "_offset",
+        *(cell(c).alias(c) for c in docs.columns), F.col("_block").cast("bigint").alias(new["block"]),
+        (begin + F.col("release")).alias(new["release"]), (begin + F.col("due")).alias(new["due"]),
+        (begin + F.col("slot")).alias(new["slot"]), F.col("_offset").alias(new["offset"]),
     )

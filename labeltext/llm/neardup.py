@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labeltext.llm.keyfilter import key_filter, rows_in
+from labeltext.llm.names import free_name, quoted
 from labeltext.llm.textvec import Rolling, mix, words
 from labeltext.session import materialize
 
@@ -34,7 +35,7 @@ ALIKE = 0.55
 
 #: Shingles in one task's block of a cluster. A larger cluster is cut into blocks in
 #: ROUNDS ways, which link most of it cheaply; a join finds every link that is left.
-BLOCK_SHINGLES = 8_000_000
+BLOCK_SHINGLES = 4_000_000
 ROUNDS = 3
 
 #: Slots of the counts by which shingles are ordered in that join (they decide what it
@@ -489,9 +490,10 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     shuffled; the few others are compared with these ids by a join.
     """
     marked = near_duplicates(docs, id_col, text_col, **settings)
-    dropped = materialize(marked.where("not kept").select(F.col(id_col).cast("bigint").alias("_dropped")).distinct(), "dropped")
-    bits = key_filter(dropped.select(F.col("_dropped").alias("key")))
-    keyed = docs.withColumn("_key", F.col(id_col).cast("bigint"))
-    sure = rows_in(keyed, "_key", bits, inside=False)
-    open_ = rows_in(keyed, "_key", bits).join(dropped, F.col("_key") == F.col("_dropped"), "left_anti")
-    return sure.unionByName(open_).drop("_key")
+    dropped = materialize(marked.where("not kept").select(F.col(id_col).cast("bigint").alias("key")).distinct(), "dropped")
+    bits = key_filter(dropped)
+    own = quoted(id_col).cast("bigint")
+    sure, open_ = rows_in(docs, own, bits, inside=False), rows_in(docs, own, bits)
+    mark = free_name("key", docs.columns)
+    left = open_.join(dropped.withColumnRenamed("key", mark), own == F.col(mark), "left_anti")
+    return sure.unionByName(left)

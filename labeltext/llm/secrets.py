@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from labeltext.llm.names import quoted
 from labeltext.session import materialize
 
 
@@ -188,7 +189,11 @@ def redact_documents(docs: DataFrame, text_col: str = "text", ledger: DataFrame
     for rule in rules:
         suspect = suspect | F.col(text_col).rlike(_fast(rule))
     suspect = F.coalesce(suspect, F.lit(False))
-    hits = address(docs.where(suspect), text_col)
-    hits = hits.join(by_blob.select("blob", F.col("findings").alias("_findings")), F.col("_blob") == F.col("blob"), "left")
-    hits = hits.withColumn(text_col, redact(F.col(text_col), F.col("_findings"))).select(*(f"`{c}`" for c in docs.columns))
+    text = quoted(text_col)
+    hits = docs.where(suspect).select(
+        F.struct(*map(quoted, docs.columns)).alias("row"), F.sha2(F.coalesce(text, F.lit("")), 256).alias("own"))
+    hits = hits.join(by_blob.select("blob", "findings"), F.col("own") == F.col("blob"), "left")
+    cell = lambda c: F.col("row").getField(c)
+    cleaned = redact(cell(text_col), F.col("findings"))
+    hits = hits.select(*((cleaned if c == text_col else cell(c)).alias(c) for c in docs.columns))
     return docs.where(~suspect).unionByName(hits)

@@ -18,8 +18,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
 
+from labeltext.llm.names import quoted
 from labeltext.llm.textvec import words
 
 #: Bytes of a word's beginning that are features besides the whole word.
@@ -41,7 +41,7 @@ LEAST_TEXTS, LEAST_SHARE, LEAST_LIFT = 3, 0.01, 3.0
 #: shorter texts count as having so many words.
 MOST_PERCENT, FEW_WORDS = 3.0, 20
 
-THRESHOLD = 0.7
+THRESHOLD, MOST_PRIOR = 0.7, 0.5
 
 
 @dataclass
@@ -77,9 +77,8 @@ def _looked_up(texts: pa.Array, features: np.ndarray) -> tuple[np.ndarray, np.nd
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def _all_features(texts: pa.Array) -> np.ndarray:
-    """Hashes of all distinct features of each text, one after another."""
-    out = [np.zeros(0, np.uint64)]
+def _all_features(texts: pa.Array) -> Iterator[np.ndarray]:
+    """Hashes of all distinct features of each text, one after another, some texts at a time."""
     for part in words(texts, lower=True, pieces=True):
         row = part.row
         found = [(np.arange(len(row)), part.hashes()), *(part.prefixes(n) for n in PREFIXES)]
@@ -87,24 +86,22 @@ def _all_features(texts: pa.Array) -> np.ndarray:
         h = np.concatenate([h + np.uint64(k) for k, (_, h) in enumerate(found)])
         order = np.lexsort((h, r))
         r, h = r[order], h[order]
-        out.append(h[np.flatnonzero(np.r_[True, (r[1:] != r[:-1]) | (h[1:] != h[:-1])])] if len(h) else h)
-    return np.concatenate(out)
+        yield h[np.flatnonzero(np.r_[True, (r[1:] != r[:-1]) | (h[1:] != h[:-1])])] if len(h) else h
 
 
 def _tally(docs: DataFrame, text_col: str, features: np.ndarray | None) -> DataFrame:
     """``(feature, n)``: texts of ``docs`` that have each feature, of ``features`` if given."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, int] = {}
         counts = None if features is None else np.zeros(len(features), np.int64)
         for batch in batches:
             if features is None:
-                h, n = np.unique(_all_features(batch.column(0)), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["feature", "n"])
+                for found in _all_features(batch.column(0)):
+                    h, n = np.unique(found, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["feature", "n"])
             else:
                 _, places, _ = _looked_up(batch.column(0), features)
                 counts += np.bincount(places, minlength=len(features))
-        del total
         if features is not None:
             seen = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays(
@@ -150,10 +147,13 @@ def train(docs: DataFrame, confirmed: DataFrame, prior: float, id_col: str = "do
     """A model from the ids in ``confirmed`` (toxic texts of ``docs``) and all of ``docs``, unlabelled.
 
     ``prior``: share of toxic texts. Samples take the smallest digests of the id,
-    so they don't depend on the order of rows. Without positives the model has no
-    features and its score is the prior.
+    so they don't depend on the order of rows, nor on ties or repeated rows (an id counts
+    once). Null ids and null texts are fine. Without positives, or where nothing tells them
+    apart, the model has no features and its score is the prior. Labelled rows are picked,
+    so their share of toxic ones may be far above that of all texts; a prior counts as
+    MOST_PRIOR at most, which keeps a model that knows nothing below THRESHOLD.
     """
-    prior = min(max(prior, 1e-4), 0.9)
+    prior = min(max(prior, 1e-4), MOST_PRIOR)
     base = Model(np.zeros(0, np.uint64), np.zeros(0), float(np.log(prior / (1 - prior))))
     key = F.xxhash64(F.col(id_col))
     positives = confirmed.select(id_col).where(F.col(id_col).isNotNull()).distinct().orderBy(key).limit(MOST_POSITIVES)
@@ -207,18 +207,18 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str
 
     ``score_col`` must not be among ``keep``; other columns are left out.
     """
-    kept = docs.select(*(docs[f"`{c}`"] for c in keep))
-    schema = StructType([*kept.schema.fields, StructField(score_col, DoubleType())])
+    return docs.select(*map(quoted, keep), probability(quoted(text_col), model).alias(score_col))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, places, values = _looked_up(batch.column(0), model.features)
-            z = np.bincount(rows, model.weights[places] * values, batch.num_rows) + model.bias
-            p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(p)], [*keep, score_col])
 
-    source = docs.select(F.col(text_col).alias("_scored"), *(docs[f"`{c}`"] for c in keep))
-    return source.mapInArrow(run, schema)
+def probability(text: Column, model: Model) -> Column:
+    """The score of each text; only texts go through Python, once."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        rows, places, values = _looked_up(texts, model.features)
+        z = np.bincount(rows, model.weights[places] * values, len(texts)) + model.bias
+        return pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500))))
+
+    return F.arrow_udf(run, "double")(text)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -227,7 +227,11 @@ def held_out(doc_id: Column) -> Column:
 
 
 def trained(docs: DataFrame, labels: DataFrame) -> Model:
-    """The model for ``documents`` from the rows of ``labels`` that may be learnt from."""
+    """The model for ``documents`` from the rows of ``labels`` that may be learnt from.
+
+    Rows with a null label or held-out id are not read; an empty table gives a model
+    without features, whose score is next to zero.
+    """
     known = labels.where(~held_out(F.col("doc_id")) & F.col("toxic").isNotNull())
     share = known.agg(F.avg("toxic")).first()[0]
     return train(docs, known.where("toxic = 1"), float(share or 0))
