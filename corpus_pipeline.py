@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from labeltext.llm import bpe, mixing, neardup, secrets, toxicity
+from labeltext.llm.names import free_name, quoted
 from labeltext.llm.queries import SOURCE_PARTS
 from labeltext.session import materialize
 
@@ -20,8 +21,7 @@ from labeltext.session import materialize
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored under the threshold; null and empty texts stay."""
     model = toxicity.trained(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = toxicity.score(docs, model, keep=tuple(docs.columns), score_col="_toxicity")
-    return scored.where(F.col("_toxicity") < toxicity.THRESHOLD).drop("_toxicity")
+    return docs.where(toxicity.probability(F.col("text"), model) < toxicity.THRESHOLD)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,30 +31,36 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets in their texts replaced; ``n_chars`` follows the text."""
-    out = secrets.redact_documents(docs.withColumn("_before", F.xxhash64("text")))
-    changed = F.xxhash64("text") != F.col("_before")
+    before = free_name("before", docs.columns)
+    out = secrets.redact_documents(docs.withColumn(before, F.xxhash64("text")))
+    changed = F.xxhash64("text") != F.col(before)
     n_chars = F.when(changed, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))
-    return out.withColumn("n_chars", n_chars).drop("_before")
+    return out.withColumn("n_chars", n_chars).drop(before)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, each once, in the order of the mix: files and their rows follow the slots."""
+    """All documents, each once, in the order of the mix: files and their rows follow the slots.
+
+    Null sources, ids and texts are rows like others; an empty table stays empty.
+    """
     mixed = mixing.interleave(docs, SOURCE_PARTS)
+    names = mixing.result_names(docs.columns)
+    order = [names["slot"], names["offset"]]
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ordered = mixed.repartitionByRange(parts, "_slot", "_offset").sortWithinPartitions("_slot", "_offset")
-    return ordered.select(*(f"`{c}`" for c in docs.columns))
+    ordered = mixed.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    return ordered.select(*map(quoted, docs.columns))
 
 
-def mix_position(docs: DataFrame) -> DataFrame:
-    """``docs`` as read from the files of the mix, with ``position``: row n of the mix, from 0.
+def mix_position(docs: DataFrame, keep: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
+    """``keep`` columns of ``docs``, as read from the files of the mix, with ``position``: row n of the mix, from 0.
 
     Files follow one another by name and rows by their place in the file; only one row
     per file is counted together. Rows that were not read from files have no position.
     """
     try:
-        placed = docs.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+        placed = docs.select(*keep, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
     except AnalysisException:
-        return docs.withColumn("position", F.lit(None).cast("bigint"))
+        return docs.select(*keep, F.lit(None).cast("bigint").alias("position"))
     files = placed.groupBy("_file").agg(F.count("*").alias("_n"))
     name = F.element_at(F.split("_file", "/"), -1)
     before = Window.orderBy(F.length(name), name).rowsBetween(Window.unboundedPreceding, -1)
@@ -64,7 +70,10 @@ def mix_position(docs: DataFrame) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, with its place in the mix and digests of the ids and of the decoded bytes."""
+    """Token ids of every document, with its place in the mix and digests of the ids and of the decoded bytes.
+
+    A null text has no tokens; rows that share an id get a row each; an empty table stays empty.
+    """
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
