@@ -15,7 +15,7 @@ from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from labeltext.constants import SPLIT_SEED, STOP_WORDS, SVD_COMPONENTS, VALIDATION_SHARE
+from labeltext.constants import MAX_CLASSES, SPLIT_SEED, STOP_WORDS, SVD_COMPONENTS, VALIDATION_SHARE
 from labeltext.functions import text as tx
 from labeltext.operators.topk import top_k
 from labeltext.session import broadcast_bounded
@@ -34,8 +34,11 @@ HOT_TERMS = 10_000
 # --- labels and split ---------------------------------------------------------
 
 def label_array(df: DataFrame, label: str):
-    """The classes in alphabetical order as a scalar array (class-sized)."""
-    return df.select(label).distinct().agg(F.array_sort(F.collect_list(label))).scalar()
+    """The classes in alphabetical order as a scalar array; more than MAX_CLASSES raise."""
+    found = df.select(label).distinct().limit(MAX_CLASSES + 1).agg(F.array_sort(F.collect_list(label)).alias("c"))
+    checked = F.when(F.size("c") <= MAX_CLASSES, F.col("c")).otherwise(
+        F.raise_error(F.lit(f"more than {MAX_CLASSES} classes in {label!r}")))
+    return found.select(checked).scalar()
 
 
 def encode_labels(df: DataFrame, label: str = "type", out: str = "label") -> DataFrame:
@@ -185,10 +188,13 @@ def tfidf_table(
     text: str = "posts",
     stop_words: Iterable[str] = (),
     hot_terms: int = HOT_TERMS,
+    frequency: DataFrame | None = None,
+    n_texts: int | None = None,
 ) -> DataFrame:
     """TF-IDF of every term of every text, vocabulary of any size.
 
-    Weight ``n * (ln((1 + texts) / (1 + df)) + 1)``, L2-normalised per text.
+    ``frequency (term, df)`` and ``n_texts`` of another corpus may be given, as for
+    texts that are scored; terms it lacks are left out. Weight ``n * (ln((1 + texts) / (1 + df)) + 1)``, L2-normalised per text.
     Document frequencies of the ``hot_terms`` most common terms are broadcast (a
     fixed number of rows); only cells of the other terms are shuffled for the
     join. None of those terms can hold more than ``1 / hot_terms`` of all cells,
@@ -200,7 +206,8 @@ def tfidf_table(
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = df.select(id_col, text)
-    frequency = document_frequency(texts, text, stop_words)
+    if frequency is None:
+        frequency = document_frequency(texts, text, stop_words)
     hot = broadcast_bounded(
         frequency.orderBy(F.desc("df"), "term").limit(hot_terms), hot_terms
     )
@@ -216,8 +223,8 @@ def tfidf_table(
         .select(id_col, "term", "n", "df")
         .repartition(parts, id_col)
     )
-    n_texts = df.agg(F.count(F.lit(1)).cast("double")).scalar()
-    idf = F.log((F.lit(1.0) + n_texts) / (F.lit(1.0) + F.col("df"))) + 1.0
+    total = df.agg(F.count(F.lit(1)).cast("double")).scalar() if n_texts is None else F.lit(float(n_texts))
+    idf = F.log((F.lit(1.0) + total) / (F.lit(1.0) + F.col("df"))) + 1.0
     weighted = common.unionByName(rare).select(id_col, "term", (F.col("n") * idf).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
     return weighted.select(id_col, "term", (F.col("w") / norm).alias("weight"))

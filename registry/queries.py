@@ -13,7 +13,7 @@ from labeltext.functions import text as tx
 from labeltext.operators import classify as cl
 from labeltext.operators import dedup, evaluate, features, filters, scoring, sequences, stats
 from labeltext.operators.topk import build_vocab as build_vocab_of
-from labeltext.plans import evaluate_experiment, funnel as funnel_of, prepare_corpus as prepare
+from labeltext.plans import evaluate_experiment, run_experiment, funnel as funnel_of, prepare_corpus as prepare
 from labeltext.session import materialize, scratch_path
 from labeltext.sources import read_posts, write_corpus
 from registry.inputs import (
@@ -396,17 +396,23 @@ def alternatives(spark, sf_dir):
 
 @query
 def score_texts(spark, sf_dir):
-    """Whether every scored text got a known class, its description and a confidence in range."""
-    data = cl.prepare_features(by_language(spark, sf_dir))
-    model = cl.scoring_pipeline(data, cl.train_lr(data, "tuned"))
+    """Whether every scored text got a known class, its description and a confidence in range, and the class of long ones."""
+    data = cl.prepare_terms(by_language(spark, sf_dir))
+    model = cl.train_lr(data, "tuned")
     talk = table(spark, sf_dir, "conversations").select(
         "conv_id", "turn", F.col("text").alias("posts")
     )
     names = {"en": "English", "de": "German", "fr": "French", "es": "Spanish"}
-    scored = scoring.score_texts(model, talk, data.classes, descriptions=names)
+    scored = scoring.score_texts_by_terms(model, data, talk, ["conv_id", "turn"], descriptions=names)
     known = F.create_map(*(F.lit(x) for pair in names.items() for x in pair))[F.col("predicted_type")]
     fits = F.col("confidence").between(100.0 / len(data.classes) - 1e-6, 100.0) & (F.col("description") == known)
-    return scored.select("conv_id", "turn", F.coalesce(fits, F.lit(False)).alias("ok"))
+    # letters that only one of the four languages has tell which class is right
+    told = F.when(F.col("posts").rlike("[äßü]"), "de").when(F.col("posts").rlike("[ñíó]"), "es").when(
+        F.col("posts").rlike("[èçêà]"), "fr")
+    told = F.when(F.char_length("posts") >= 500, told)
+    return scored.select(
+        "conv_id", "turn", F.coalesce(fits, F.lit(False)).alias("ok"),
+        F.when(told.isNotNull(), F.col("predicted_type")).alias("language"))
 
 
 @query
@@ -435,18 +441,25 @@ def corpus_to_weights(spark, sf_dir):
 HASHED_TERMS = 4_096
 
 
-def _beats_majority(report: DataFrame) -> DataFrame:
-    """``(class, support, beats_majority)`` of a classification report."""
+def _beats_majority(report: DataFrame, least: float = 0.0) -> DataFrame:
+    """``(class, support, beats_majority, accurate)`` of a classification report; accurate: ``least`` or more."""
     report = materialize(report, "report")
     reached = report.filter(F.col("class") == "accuracy").agg(F.max("f1")).scalar()
     classes = report.filter(~F.col("class").isin("accuracy", "macro avg", "weighted avg"))
     majority = classes.agg(F.max("support") / F.sum("support")).scalar()
-    return classes.select("class", "support", (reached > majority).alias("beats_majority"))
+    return classes.select(
+        "class", "support", (reached > majority).alias("beats_majority"), (reached >= least).alias("accurate"))
 
 
 @query
 def lr_eval(spark, sf_dir):
-    return _beats_majority(evaluate_experiment(by_language(spark, sf_dir), "lr"))
+    """Classes with their support, whether accuracy reaches 0.95 and the gradient went under its limit."""
+    data, model, predictions = run_experiment(by_language(spark, sf_dir), "lr")
+    named = features.decode_labels(predictions, data.classes, "label", "truth")
+    report = _beats_majority(evaluate.classification_report(
+        features.decode_labels(named, data.classes, "prediction", "guess"), "truth", "guess"), least=0.95)
+    small = model.history[-1][2] <= 1e-4
+    return report.withColumn("gradient_small", F.lit(small))
 
 
 @query

@@ -277,10 +277,12 @@ ORACLE: dict[str, str] = {
         select doc_id, idx, count(*) as n from tokens join vocab using (term) group by doc_id, idx""",
     "encode_labels": f"""select doc_id, type,
         (dense_rank() over (order by type) - 1)::int as label from {CORPUS}""",
-    **{name: """select lang as class, count(*) as support, true as beats_majority from documents
+    **{name: f"""select lang as class, count(*) as support, true as beats_majority, true as accurate{more} from documents
         where substr(md5('42:' || doc_id), 1, 8) < '33333333' group by lang"""
-       for name in ("lr_eval", "rf_eval", "rf_svd_eval", "mlp_eval")},
-    "score_texts": """select conv_id, turn, true as ok from conversations
+       for name, more in (("lr_eval", ", true as gradient_small"), ("rf_eval", ""), ("rf_svd_eval", ""), ("mlp_eval", ""))},
+    "score_texts": """select conv_id, turn, true as ok, case when length(text) < 500 then null
+            when regexp_matches(text, '[äßü]') then 'de' when regexp_matches(text, '[ñíó]') then 'es'
+            when regexp_matches(text, '[èçêà]') then 'fr' end as language from conversations
         where trim(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') <> ''""",
     "drop_empty_input": """select conv_id, turn,
         trim(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') as text

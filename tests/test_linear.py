@@ -1,0 +1,103 @@
+"""Logistic regression on tables of cells against MLlib and plain numpy."""
+
+import numpy as np
+import pytest
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
+
+from labeltext.operators import classify as cl
+from labeltext.operators import evaluate, linear, scoring
+from registry.inputs import by_language
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return by_language(spark, SF_DIR).cache()
+
+
+@pytest.fixture(scope="module")
+def data(docs):
+    return cl.prepare_terms(docs)
+
+
+def test_cells_equal_the_vectors(docs, data):
+    corpus = cl.prepare_features(docs)
+    from labeltext.operators.features import vector_cells
+
+    vocab = corpus.stages[1].vocabulary
+    want = {(r.doc_id, vocab[r.idx]): r.value for r in vector_cells(corpus.data, "features", ["doc_id"]).collect()}
+    got = {(r.doc_id, r.term): r.weight for r in data.cells.collect()}
+    assert got.keys() == want.keys() and max(abs(got[k] - want[k]) for k in got) < 1e-9
+    assert corpus.classes == data.classes
+    key = lambda r: (r.doc_id, r.label, round(r.weight, 9), r.is_val)
+    assert sorted(map(key, data.rows.collect())) == sorted(map(key, corpus.data.drop("features").collect()))
+
+
+def test_coefficients_equal_mllib(spark):
+    rng = np.random.default_rng(1)
+    x, y, w = (rng.random((60, 12)) < 0.3) * rng.random((60, 12)), rng.integers(0, 3, 60), rng.random(60) + 0.5
+    rows = [(i, float(y[i]), float(w[i]), Vectors.dense(x[i])) for i in range(60)]
+    df = spark.createDataFrame(rows, ["doc_id", "label", "weight", "features"]).coalesce(2)
+    cells = [(i, f"t{j}", float(x[i, j])) for i, j in zip(*np.nonzero(x))]
+    cells = spark.createDataFrame([(int(i), t, v) for i, t, v in cells], "doc_id bigint, term string, weight double")
+    theirs = LogisticRegression(
+        family="multinomial", weightCol="weight", standardization=False, regParam=0.02, maxIter=1000, tol=1e-14).fit(df)
+    mine = linear.fit_terms(cells.coalesce(2), df, 3, 0.02, tol=1e-6)
+    own = {r.term: r.w for r in mine.weights.collect()}
+    matrix = np.stack([own[f"t{j}"] for j in range(12)], 1)
+    assert mine.converged and np.abs(matrix - theirs.coefficientMatrix.toArray()).max() < 1e-4
+    # intercepts are told apart by their differences only
+    theirs_b, mine_b = theirs.interceptVector.toArray(), np.array(mine.intercepts)
+    assert np.allclose(theirs_b - theirs_b.mean(), mine_b - mine_b.mean(), atol=1e-4)
+    assert mine.history[-1][1] <= theirs.summary.objectiveHistory[-1] + 1e-9
+    z = x @ matrix.T + mine_b
+    loss = np.log(np.exp(z).sum(1)) - z[np.arange(60), y]
+    assert mine.history[-1][1] == pytest.approx((w * loss).sum() / w.sum() + 0.01 * (matrix**2).sum(), abs=1e-12)
+
+
+def test_loss_falls_and_model_is_accurate(data):
+    model = cl.train_lr(data, "tuned")
+    losses = [h[1] for h in model.history]
+    assert losses == sorted(losses, reverse=True) and model.converged
+    predicted = cl.predict(model, data.validation, data)
+    assert evaluate.accuracy(predicted).first()[0] > 0.9
+    assert predicted.select(F.max(F.abs(F.expr("aggregate(probability, 0D, (a, x) -> a + x)") - 1))).first()[0] < 1e-12
+
+
+def test_few_steps_stop_early(data):
+    model = cl.train_lr(data, max_iter=2)
+    assert len(model.history) == 3 and not model.converged
+
+
+def test_rows_without_cells_move_only_intercepts(spark):
+    rows = spark.createDataFrame([(1, 0.0, 1.0), (2, 1.0, 3.0)], "doc_id bigint, label double, weight double")
+    cells = spark.createDataFrame([], "doc_id bigint, term string, weight double")
+    model = linear.fit_terms(cells, rows, 2, 0.1, tol=1e-9)
+    assert model.intercepts[1] - model.intercepts[0] == pytest.approx(np.log(3), abs=1e-6)
+    assert model.weights.count() == 0
+
+
+def test_scores_of_new_texts(spark, data):
+    model = cl.train_lr(data, "tuned", max_iter=15)
+    texts = [(1, 0, "the thing and that", "x"), (1, 1, "  ", "x"), (2, None, "qqqqq zzzzz", "x"), (3, 0, "und die schule ist", "x")]
+    df = spark.createDataFrame(texts, "conv_id bigint, turn bigint, posts string, term string")
+    got = {(r.conv_id, r.turn): r for r in scoring.score_texts_by_terms(
+        model, data, df, ["conv_id", "turn"], descriptions={"de": "German"}).collect()}
+    assert set(got) == {(1, 0), (2, None), (3, 0)}
+    assert got[3, 0].predicted_type == "de" and got[3, 0].description == "German"
+    b = np.exp(np.array(model.intercepts) - max(model.intercepts))
+    assert np.allclose(got[2, None].probability, b / b.sum())
+
+
+def test_too_many_classes(spark):
+    from labeltext.constants import MAX_CLASSES
+    from labeltext.operators.features import encode_labels
+
+    df = spark.range(MAX_CLASSES + 1).selectExpr("id as doc_id", "concat('c', id) as type", "'text' as posts")
+    with pytest.raises(ValueError):
+        cl.prepare_terms(df)
+    with pytest.raises(Exception, match="classes"):
+        encode_labels(df).collect()
