@@ -6,14 +6,13 @@ spelled out once here and used everywhere else.
 
 from __future__ import annotations
 
-import html
+import json
 import re
 from collections.abc import Iterable, Sequence
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from labeltext.constants import SEQUENCE_FILTERS, STOP_WORDS
 
@@ -90,18 +89,52 @@ def tokenize_keras(c: Column) -> Column:
 
 # --- cleaning -----------------------------------------------------------------
 
-@F.pandas_udf(StringType())
-def _decode_entities(texts: pd.Series) -> pd.Series:
-    return texts.map(html.unescape, na_action="ignore")
+#: Character references, as HTML5 reads them.
+_REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+
+
+def _named(s: Column) -> Column:
+    """The characters of a named reference (without ``&``); a longest known beginning counts, as for old names."""
+    by_start: dict[str, dict[str, str]] = {}
+    for name, value in html5.items():
+        by_start.setdefault(name[:2], {})[name] = value
+    table = F.from_json(F.lit(json.dumps(by_start)), "map<string,map<string,string>>")  # folded into one literal
+    look = lambda x: F.try_element_at(F.try_element_at(table, F.substring(x, 1, 2)), x)
+    old = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True))
+    start = F.regexp_extract(s, f"^({old})", 1)
+    rest = F.substring(s, F.length(start) + 1, F.length(s))
+    return F.coalesce(look(s), F.concat(look(start), rest), F.concat(F.lit("&"), s))
+
+
+def _numbered(s: Column) -> Column:
+    """The character of a numeric reference (without ``&``), with HTML5's replacements."""
+    hexed = F.substring(s, 2, 1).isin("x", "X")
+    digits = F.regexp_replace(F.regexp_extract(s, "^#[xX]?([0-9a-fA-F]+)", 1), "^0+", "")
+    short = F.substring(F.concat(F.lit("0"), digits), 1, 10)
+    n = F.when(F.length(digits) > 7, 1 << 30).when(hexed, F.conv(short, 16, 10)).otherwise(short).cast("bigint")
+    point = lambda x: F.decode(F.unhex(F.lpad(F.hex(x), 8, "0")), "UTF-32")
+    # 0x80 to 0x9f stand for that code page, where it has a character
+    page = "".join(bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(0x80, 0xA0))
+    control = n.between(1, 8) | (n == 11) | n.between(14, 31) | (n == 127) | n.between(0xFDD0, 0xFDEF) | (n % 65536 >= 65534)
+    return (
+        F.when((n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), F.lit("\ufffd"))
+        .when(n.between(0x80, 0x9F), F.substring(F.lit(page), (n - 0x7F).cast("int"), F.lit(1)))
+        .when(control, F.lit(""))
+        .otherwise(point(n))
+    )
 
 
 def unescape_html(c: Column) -> Column:
-    """Decode HTML entities, one pass.
+    """Decode HTML character references, one pass, in the row.
 
-    Spark has no built-in for the entity table. Only texts with an ``&`` are
-    sent to Python; the others travel as nulls and keep their JVM value.
+    A text with an ``&`` is split at its references, which are decoded and put back
+    between the pieces; other texts are returned as they are.
     """
-    return F.coalesce(_decode_entities(F.when(c.contains("&"), c)), c)
+    found = F.regexp_extract_all(c, F.lit(_REFERENCE), F.lit(0))
+    plain = lambda r: F.substring(r, 2, F.length(r))
+    decoded = F.transform(found, lambda r: F.when(r.startswith("&#"), _numbered(plain(r))).otherwise(_named(plain(r))))
+    pieces = F.zip_with(F.split(c, _REFERENCE, -1), decoded, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+    return F.when(c.contains("&"), F.array_join(pieces, "")).otherwise(c)
 
 
 def _forum_letters(c: Column) -> Column:

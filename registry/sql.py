@@ -280,6 +280,8 @@ ORACLE: dict[str, str] = {
     **{name: f"""select lang as class, count(*) as support, true as beats_majority, true as accurate{more} from documents
         where substr(md5('42:' || doc_id), 1, 8) < '33333333' group by lang"""
        for name, more in (("lr_eval", ", true as gradient_small"), ("rf_eval", ""), ("rf_svd_eval", ""), ("mlp_eval", ""))},
+    "svd_features": """select vec_id, round(list_sum(list_transform(embedding, lambda x: x::double * x::double)), 5)
+        as squared_length from embeddings where len(list_filter(embedding, lambda x: x <> 0)) > 0""",
     "score_texts": """select conv_id, turn, true as ok, case when length(text) < 500 then null
             when regexp_matches(text, '[äßü]') then 'de' when regexp_matches(text, '[ñíó]') then 'es'
             when regexp_matches(text, '[èçêà]') then 'fr' end as language from conversations
