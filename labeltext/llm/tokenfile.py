@@ -38,7 +38,10 @@ SKIPPABLE, FILE_END, HAS_CHECKSUMS = 0x184D2A5E, b"\xb1\xea\x92\x8f", 0x80
 FILE_BYTES, FRAME_IDS = 8 << 20, 1 << 20
 
 #: Zstandard's level, and strings whose ids a worker remembers before a batch.
-LEVEL, CACHE_SIZE = 1, 600_000
+LEVEL, CACHE_SIZE = 1, 400_000
+
+#: Marks that are a pre-token of their own at the end of a stretch after letters.
+MARKS = ".,;:!?"
 
 #: Fixed value: pre-tokens of byte-level tokenizers.
 PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -94,15 +97,22 @@ class Encoder:
             kept = {s: known[s] for s in stretches if s in known}
             known.clear()
             known.update(kept)
-        whole, mixed = [], []
+        whole, marked, mixed = [], [], []
         for s in stretches:
             if s not in known:
-                (whole if s.isalpha() or not self.latin(s) or self.added(s) else mixed).append(s)
+                if s.isalpha():
+                    whole.append(s)
+                elif s and s[-1] in MARKS and s[:-1].isalpha() and self.latin(s):
+                    marked.append(s)  # a word and its mark
+                else:
+                    (mixed if self.latin(s) and not self.added(s) else whole).append(s)
         known.update(zip(whole, self._by_library([lead + s for s in whole])))
         parts = [self.find(lead + s) for s in mixed]
         after = self._tokens((t[1:] for ts in parts for t in ts if t[0] == " "), True).__getitem__
         plain = self._tokens((t for ts in parts for t in ts if t[0] != " "), False).__getitem__
         known.update(zip(mixed, [b"".join([after(t[1:]) if t[0] == " " else plain(t) for t in ts]) for ts in parts]))
+        own, marks = self._tokens([s[:-1] for s in marked], spaced), self._tokens(MARKS, False)
+        known.update([(s, own[s[:-1]] + marks[s[-1]]) for s in marked])
         out = list(map(known.__getitem__, stretches))
         for s in stretches:
             if len(s) > 64:
@@ -261,7 +271,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, id_col: str =
         coder, file = encoder(model), FileBuilder()
         whole = lambda: pa.RecordBatch.from_arrays([pa.array([file.finish()], pa.binary())], ["value"])
         for batch in batches:
-            for part in pieces_of(batch, size=8_000_000):
+            for part in pieces_of(batch, size=5_000_000):
                 codes = coder.encode(part.column(1))
                 for doc_id, code in zip(part.column(0).to_pylist(), codes):
                     file.add(doc_id, code + end)
