@@ -13,6 +13,9 @@ from labeltext.session import materialize
 
 _POSITIONS = 1 << 31
 
+#: Words that may be looked up inside the row.
+MOST_ROW_WORDS = 200_000
+
 
 def fit_sequence_vocab(
     df: DataFrame,
@@ -58,6 +61,8 @@ def _lookup_table(vocab: DataFrame, buckets: int):
 
 
 def _encode_in_row(df: DataFrame, vocab: DataFrame, tokens: str, out: str, num_words: int):
+    if num_words > MOST_ROW_WORDS:
+        raise ValueError(f"more than {MOST_ROW_WORDS} words do not fit a row; use method='join'")
     buckets = 1 << max(num_words - 1, 1).bit_length()
     table = df.withColumn("_table", _lookup_table(vocab, buckets))
 

@@ -7,9 +7,10 @@ from labeltext.sources.models import (
     save_encoders,
     save_model,
 )
+from labeltext.sources.store import ArtifactStore
 from labeltext.sources.tables import read_corpus, read_posts, write_corpus, write_report
 
 __all__ = [
-    "load_classes", "load_encoders", "load_model", "read_corpus", "read_posts",
+    "ArtifactStore", "load_classes", "load_encoders", "load_model", "read_corpus", "read_posts",
     "save_encoders", "save_model", "write_corpus", "write_report",
 ]

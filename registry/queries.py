@@ -14,7 +14,9 @@ from labeltext.operators import decompose, dedup, evaluate, features, filters, s
 from labeltext.operators.topk import build_vocab as build_vocab_of
 from labeltext.plans import evaluate_experiment, run_experiment, funnel as funnel_of, prepare_corpus as prepare
 from labeltext.session import materialize, scratch_path
-from labeltext.sources import read_posts, write_corpus
+from labeltext.operators.neural import fit_sequences
+from labeltext.sources import ArtifactStore, read_posts, write_corpus, write_report
+from labeltext.streaming import read_text_stream, score_stream_by_version, scored_batches
 from registry.inputs import (
     CLASS_NAMES,
     LEAK_WORDS,
@@ -47,6 +49,62 @@ def csv_roundtrip(spark, sf_dir):
     return read_posts(spark, path, id_from="doc_id")
 
 
+@query
+def encoders_roundtrip(spark, sf_dir):
+    """The second of two saved sequence vocabularies, as read back."""
+    store = ArtifactStore(spark, scratch_path(spark, "store"))
+    for n in (100, 1000):
+        store.save({"vocabulary": sequences.fit_sequence_vocab(corpus(spark, sf_dir), num_words=n)})
+    return store.table("vocabulary")
+
+
+@query
+def report_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "report")
+    report = classification_report(spark, sf_dir)
+    write_report(report, path)
+    return spark.read.schema(report.schema).json(path)
+
+
+def _saved_models(spark, sf_dir):
+    """Two versions of a saved language model, the newer one better; its corpus."""
+    data = cl.prepare_features(by_language(spark, sf_dir), max_features=500)
+    store = ArtifactStore(spark, scratch_path(spark, "store"))
+    names = spark.createDataFrame(list(enumerate(data.classes)), "label int, type string")
+    for steps in (1, 30):
+        model = cl.scoring_pipeline(data, cl.train_lr(data, "tuned", max_iter=steps))
+        store.save({"classes": names}, {"model": model})
+    return data, model, store
+
+
+@query
+def model_roundtrip(spark, sf_dir):
+    """Whether the newest saved model scores every conversation turn as it did before it was saved."""
+    data, model, store = _saved_models(spark, sf_dir)
+    talk = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("text").alias("posts"))
+    version, loaded = store.model("model")
+    scored = [scoring.score_texts(m, talk, data.classes) for m in (model, loaded)]
+    a, b = (s.select("conv_id", "turn", F.col("predicted_type").alias(f"t{i}"), F.col("confidence").alias(f"c{i}"))
+            for i, s in enumerate(scored))
+    same = (F.col("t0") == F.col("t1")) & (F.abs(F.col("c0") - F.col("c1")) < 1e-9)
+    return a.join(b, ["conv_id", "turn"], "full").select("conv_id", "turn", F.lit(version).alias("version"), F.coalesce(same, F.lit(False)).alias("same"))
+
+
+@query
+def score_stream(spark, sf_dir):
+    """Turns scored as a stream of batches with the newest model, against the same scored at once."""
+    data, model, store = _saved_models(spark, sf_dir)
+    talk = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("text").alias("posts"))
+    source, out, checkpoint = (scratch_path(spark, n) for n in ("stream", "scored", "stream-checkpoint"))
+    talk.repartition(4, "conv_id").write.parquet(source)
+    stream = read_text_stream(spark, source, talk.schema, files_per_batch=2)
+    score_stream_by_version(store, stream, out, checkpoint).awaitTermination()
+    streamed = scored_batches(spark, out).select("conv_id", "turn", "version", F.col("predicted_type").alias("streamed"))
+    at_once = scoring.score_texts(model, talk, data.classes).select("conv_id", "turn", "predicted_type")
+    both = at_once.join(streamed, ["conv_id", "turn"], "full")
+    return both.select("conv_id", "turn", "version", F.coalesce(F.col("streamed") == F.col("predicted_type"), F.lit(False)).alias("same"))
+
+
 # --- labels and row filters ---------------------------------------------------
 
 @query
@@ -465,6 +523,23 @@ def lr_eval(spark, sf_dir):
     return report.withColumn("gradient_small", F.lit(small))
 
 
+@query
+def sequence_eval(spark, sf_dir):
+    """A classifier on padded sequences: its validation report, and whether its loss fell and the best epoch was kept."""
+    docs = features.encode_labels(by_language(spark, sf_dir))
+    vocab = materialize(sequences.fit_sequence_vocab(docs, num_words=2000), "vocabulary")
+    coded = sequences.encode_sequences(docs, vocab, num_words=2000, maxlen=200, pad=True)
+    rows = features.split_train_val(coded).select("doc_id", "seq", "label", "is_val", "type")
+    rows = materialize(rows, "sequences")
+    model = fit_sequences(rows, rows.select("label").distinct().count(), 2000, epochs=5, batches=4, rate=0.02)
+    predicted = model.predict(rows.filter("is_val"))
+    names = [r[0] for r in rows.select("type").distinct().orderBy("type").collect()]  # class-sized
+    named = features.decode_labels(predicted, names, "prediction", "guess")
+    report = _beats_majority(evaluate.classification_report(named, "type", "guess"), least=0.9)
+    losses, kept = [h[1] for h in model.history], min(model.history, key=lambda h: h[3])[0]
+    return report.withColumn("loss_falls", F.lit(losses[-1] < losses[0])).withColumn("best_kept", F.lit(kept == model.best_epoch))
+
+
 @query
 def rf_eval(spark, sf_dir):
     return _beats_majority(

@@ -279,7 +279,11 @@ ORACLE: dict[str, str] = {
         (dense_rank() over (order by type) - 1)::int as label from {CORPUS}""",
     **{name: f"""select lang as class, count(*) as support, true as beats_majority, true as accurate{more} from documents
         where substr(md5('42:' || doc_id), 1, 8) < '33333333' group by lang"""
-       for name, more in (("lr_eval", ", true as gradient_small"), ("rf_eval", ""), ("rf_svd_eval", ""), ("mlp_eval", ""))},
+       for name, more in (("lr_eval", ", true as gradient_small"), ("rf_eval", ""), ("rf_svd_eval", ""), ("mlp_eval", ""),
+                          ("sequence_eval", ", true as loss_falls, true as best_kept"))},
+    **{name: """select conv_id, turn, 2::bigint as version, true as same from conversations
+        where trim(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') <> ''"""
+       for name in ("model_roundtrip", "score_stream")},
     "svd_features": """select vec_id, round(list_sum(list_transform(embedding, lambda x: x::double * x::double)), 5)
         as squared_length from embeddings where len(list_filter(embedding, lambda x: x <> 0)) > 0""",
     "score_texts": """select conv_id, turn, true as ok, case when length(text) < 500 then null
@@ -351,3 +355,6 @@ ORACLE: dict[str, str] = {
         select vec_id, rank, alternative, round(confidence, 6) as confidence,
             {described('alternative', '')} as description from other""",
 }
+
+ORACLE["encoders_roundtrip"] = ORACLE["sequence_vocab"]
+ORACLE["report_roundtrip"] = ORACLE["classification_report"]

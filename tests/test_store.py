@@ -1,0 +1,80 @@
+"""Versions of fitted state, and a stream that follows them."""
+
+import pytest
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
+from pyspark.sql import functions as F
+
+from labeltext.operators import sequences
+from labeltext.sources import ArtifactStore
+from labeltext.streaming import batch_ledger, read_text_stream, score_stream_by_version, scored_batches
+
+
+def words(spark, n):
+    return spark.createDataFrame([(f"w{i}", i) for i in range(n)], "word string, idx int")
+
+
+def test_newest_whole_version_counts(spark, tmp_path):
+    store = ArtifactStore(spark, str(tmp_path))
+    assert store.versions() == []
+    with pytest.raises(FileNotFoundError):
+        store.table("vocabulary")
+    assert [store.save({"vocabulary": words(spark, n)}) for n in (3, 5)] == [1, 2]
+    # what a save leaves that is interrupted before its row of the manifest
+    words(spark, 9).write.parquet(f"{tmp_path}/data/3-half/vocabulary")
+    assert store.versions() == [1, 2] and store.table("vocabulary").count() == 5
+    assert sorted(store.table("vocabulary", 1).collect()) == sorted(words(spark, 3).collect())
+    store.save({"other": words(spark, 1)})
+    assert store.table("vocabulary").count() == 5  # of the newest version that has it
+
+
+def test_damage_and_nothing(spark, tmp_path):
+    store = ArtifactStore(spark, str(tmp_path))
+    store.save({"vocabulary": words(spark, 4), "none": words(spark, 0)})
+    assert store.table("none").count() == 0
+    folder = store._row("vocabulary", "table", None)["folder"]
+    words(spark, 1).write.mode("append").parquet(f"{tmp_path}/{folder}/vocabulary")
+    with pytest.raises(ValueError, match="not what was saved"):
+        store.table("vocabulary")
+    with pytest.raises(ValueError):
+        store.save()
+
+
+def constant_model(spark, winner):
+    """A pipeline that gives every text the same class of two."""
+    p = "array(0.9D, 0.1D)" if winner == 0 else "array(0.2D, 0.8D)"
+    return PipelineModel([SQLTransformer(statement=f"SELECT *, {p} AS probability FROM __THIS__")])
+
+
+def test_stream_follows_the_models(spark, tmp_path, monkeypatch):
+    # the constant models give arrays, not vectors
+    from labeltext.operators import scoring
+
+    monkeypatch.setattr(scoring, "vector_to_array", F.col)
+    store = ArtifactStore(spark, str(tmp_path / "store"))
+    names = spark.createDataFrame([(0, "a"), (1, "b")], "label int, type string")
+    texts, out, mark = (str(tmp_path / n) for n in ("texts", "out", "mark"))
+    schema = "id int, posts string"
+
+    def batch(ids, winner):
+        spark.createDataFrame([(i, "" if i % 10 == 9 else f"text {i}") for i in ids], schema).coalesce(1).write.mode("append").parquet(texts)
+        store.save({"classes": names}, {"model": constant_model(spark, winner)})
+        score_stream_by_version(store, read_text_stream(spark, texts, schema), out, mark).awaitTermination(120)
+
+    batch(range(10), 0)
+    batch(range(10, 20), 1)
+    got = {(r.id, r.predicted_type, r.version) for r in scored_batches(spark, out).collect()}
+    assert got == {(i, "a", 1) for i in range(9)} | {(i, "b", 2) for i in range(10, 19)}
+    assert {(r.batch, r.version, r.n) for r in batch_ledger(spark, out).collect()} == {(0, 1, 9), (1, 2, 9)}
+    # a batch that is whole is not scored again; one that is not in the ledger is not read
+    spark.read.parquet(f"{out}/batches/batch=0").write.parquet(f"{out}/batches/batch=7")
+    assert scored_batches(spark, out).count() == 18
+
+
+def test_row_lookup_is_bounded(spark):
+    df = spark.createDataFrame([(1, "a b a")], "doc_id int, posts string")
+    vocab = sequences.fit_sequence_vocab(df, num_words=10)
+    with pytest.raises(ValueError, match="join"):
+        sequences.encode_sequences(df, vocab, num_words=10**7)
+    joined = sequences.encode_sequences(df, vocab, num_words=10**7, method="join")
+    assert joined.first()["seq"] == [2, 3, 2]
