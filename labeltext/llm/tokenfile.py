@@ -40,6 +40,9 @@ FILE_BYTES, FRAME_IDS = 8 << 20, 1 << 20
 #: Zstandard's level, and strings whose ids a worker remembers before a batch.
 LEVEL, CACHE_SIZE = 1, 400_000
 
+#: Stretches whose ids are put together at once, or one text's.
+GATHERED = 250_000
+
 #: Marks that are a pre-token of their own at the end of a stretch after letters.
 MARKS = ".,;:!?"
 
@@ -144,13 +147,21 @@ class Encoder:
         place = {h: i for i, h in enumerate(dict.fromkeys(heads), len(found))}
         which[bounds[:-1]] = [place[h] for h in heads]
         codes = self._stretches(found, True) + self._stretches(list(place), False)
-        size = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
+        size = np.fromiter(map(len, codes), np.int32, len(codes)) // 4
         ids = np.frombuffer(b"".join(codes), "<u4")
-        start, n = (np.cumsum(size) - size)[which], size[which]
-        done = np.cumsum(n)
-        ids = ids[np.repeat(start - done + n, n) + np.arange(done[-1])].tobytes()
-        edges = (4 * np.r_[0, done][bounds]).tolist()
-        out = [ids[a:b] for a, b in zip(edges, edges[1:])]
+        del codes, found, heads
+        begin, out = np.cumsum(size) - size, []
+        steps = np.searchsorted(bounds, np.arange(0, bounds[-1], GATHERED))
+        steps = np.unique(np.minimum(steps, len(bounds) - 1))
+        for lo, hi in zip(steps, [*steps[1:], len(bounds) - 1]):  # some texts at a time
+            some = which[bounds[lo] : bounds[hi]]
+            n = size[some]
+            done = np.cumsum(n, dtype=np.int64)
+            if not len(done):
+                continue
+            plain = ids[np.repeat(begin[some] - done + n, n) + np.arange(done[-1])].tobytes()
+            edges = (4 * np.r_[0, done][bounds[lo : hi + 1] - bounds[lo]]).tolist()
+            out += [plain[a:b] for a, b in zip(edges, edges[1:])]
         for i in other.tolist():
             head, *rest = self.cut(texts[i].as_py())
             out[i] = b"".join(self._stretches([head], False) + self._stretches(rest, True))
@@ -271,7 +282,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, id_col: str =
         coder, file = encoder(model), FileBuilder()
         whole = lambda: pa.RecordBatch.from_arrays([pa.array([file.finish()], pa.binary())], ["value"])
         for batch in batches:
-            for part in pieces_of(batch, size=5_000_000):
+            for part in pieces_of(batch, size=16_000_000):
                 codes = coder.encode(part.column(1))
                 for doc_id, code in zip(part.column(0).to_pylist(), codes):
                     file.add(doc_id, code + end)
