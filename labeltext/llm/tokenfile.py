@@ -35,10 +35,10 @@ from labeltext.llm.bpe import pieces_of
 SKIPPABLE, FILE_END, HAS_CHECKSUMS = 0x184D2A5E, b"\xb1\xea\x92\x8f", 0x80
 
 #: Compressed bytes after which a file ends, and ids in one frame at most.
-FILE_BYTES, FRAME_IDS = 8 << 20, 1 << 20
+FILE_BYTES, FRAME_IDS = 4 << 20, 1 << 20
 
 #: Zstandard's level, and strings whose ids a worker remembers before a batch.
-LEVEL, CACHE_SIZE = 1, 400_000
+LEVEL, CACHE_SIZE = 1, 200_000
 
 #: Stretches whose ids are put together at once, or one text's.
 GATHERED = 250_000
@@ -282,7 +282,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, id_col: str =
         coder, file = encoder(model), FileBuilder()
         whole = lambda: pa.RecordBatch.from_arrays([pa.array([file.finish()], pa.binary())], ["value"])
         for batch in batches:
-            for part in pieces_of(batch, size=6_000_000):
+            for part in pieces_of(batch, size=3_000_000):
                 codes = coder.encode(part.column(1))
                 for doc_id, code in zip(part.column(0).to_pylist(), codes):
                     file.add(doc_id, code + end)
