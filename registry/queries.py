@@ -87,7 +87,7 @@ def model_roundtrip(spark, sf_dir):
     a, b = (s.select("conv_id", "turn", F.col("predicted_type").alias(f"t{i}"), F.col("confidence").alias(f"c{i}"))
             for i, s in enumerate(scored))
     same = (F.col("t0") == F.col("t1")) & (F.abs(F.col("c0") - F.col("c1")) < 1e-9)
-    return a.join(b, ["conv_id", "turn"], "full").select("conv_id", "turn", F.lit(version).alias("version"), F.coalesce(same, F.lit(False)).alias("same"))
+    return a.join(b, ["conv_id", "turn"], "full").select("conv_id", "turn", F.lit(version).cast("bigint").alias("version"), F.coalesce(same, F.lit(False)).alias("same"))
 
 
 @query
