@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from labeltext.sources.splitcsv import ROW_BITS, read_split_csv
+
 POSTS_COLUMNS = ("author_flair_text", "body")
 CORPUS_COLUMNS = ("type", "posts")
 
@@ -12,10 +14,6 @@ CORPUS_COLUMNS = ("type", "posts")
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
 
 
-#: Bits of a row's number within its file.
-_ROW_BITS = 40
-
-
 def _in_read_order(df: DataFrame, fmt: str):
     """A row number that follows file names, then the order within each file.
 
@@ -38,16 +36,19 @@ def _in_read_order(df: DataFrame, fmt: str):
     placed = df.select("*", F.input_file_name().alias("_file"), place.alias("_place"))
     # one row per input file, a list the driver holds anyway
     return placed.join(F.broadcast(ranks), "_file", "left"), (
-        F.shiftleft(F.coalesce("_rank", F.lit(0).cast("long")), _ROW_BITS) + F.col("_place")
+        F.shiftleft(F.coalesce("_rank", F.lit(0).cast("long")), ROW_BITS) + F.col("_place")
     )
 
 
 def _read(
     spark: SparkSession, path: str, columns, id_col: str, fmt: str, partitions: int | None,
-    id_from: str | None,
+    id_from: str | None, split: bool, split_bytes: int | None,
 ) -> DataFrame:
     reader = spark.read
-    if fmt == "csv":
+    number = None
+    if fmt == "csv" and split:
+        df, number = read_split_csv(spark, path, CSV_OPTIONS, split_bytes)
+    elif fmt == "csv":
         # Columns are found by the header's names and read as text; only the
         # header line is looked at beforehand, nothing is inferred from data.
         df = reader.options(**CSV_OPTIONS).csv(path)
@@ -55,6 +56,8 @@ def _read(
         df = reader.format(fmt).load(path)
     if id_from:
         row_id = F.col(id_from).cast("long")
+    elif number:
+        row_id = F.col(number)
     else:
         df, row_id = _in_read_order(df, fmt)
     df = df.select(row_id.alias(id_col), *[F.col(c).cast("string").alias(c) for c in columns])
@@ -63,25 +66,25 @@ def _read(
 
 def read_posts(
     spark: SparkSession, path: str, fmt: str = "csv", partitions: int | None = None,
-    id_from: str | None = None,
+    id_from: str | None = None, split: bool = False, split_bytes: int | None = None,
 ) -> DataFrame:
     """Raw posts ``(row_id, author_flair_text, body)``.
 
     ``id_from`` names an id column of the input, which is what "first" goes by
     later. Without one, ids follow file names and then the order within each file,
-    however the files are split over tasks. A CSV file with line breaks in fields is read by one task,
-    so large inputs should come as many files, or as parquet; ``partitions``
-    spreads the rows of a few large files.
+    however the files are split over tasks. A CSV file with line breaks in fields is read by one task;
+    with ``split`` by many, in two passes (see :func:`read_split_csv`), with the
+    same rows and numbers. ``partitions`` spreads the rows of a few large files.
     """
-    return _read(spark, path, POSTS_COLUMNS, "row_id", fmt, partitions, id_from)
+    return _read(spark, path, POSTS_COLUMNS, "row_id", fmt, partitions, id_from, split, split_bytes)
 
 
 def read_corpus(
     spark: SparkSession, path: str, fmt: str = "csv", partitions: int | None = None,
-    id_from: str | None = None,
+    id_from: str | None = None, split: bool = False, split_bytes: int | None = None,
 ) -> DataFrame:
     """Training corpus ``(doc_id, type, posts)``; options as :func:`read_posts`."""
-    return _read(spark, path, CORPUS_COLUMNS, "doc_id", fmt, partitions, id_from)
+    return _read(spark, path, CORPUS_COLUMNS, "doc_id", fmt, partitions, id_from, split, split_bytes)
 
 
 def write_corpus(df: DataFrame, path: str, fmt: str = "csv", mode: str = "errorifexists") -> None:
