@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.feature import IDF, CountVectorizerModel, ElementwiseProduct, HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.stat import Summarizer
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from labeltext.constants import MAX_CLASSES, SPLIT_SEED, STOP_WORDS, SVD_COMPONENTS, VALIDATION_SHARE
 from labeltext.functions import text as tx
 from labeltext.operators.topk import top_k
-from labeltext.session import broadcast_bounded
+from labeltext.session import broadcast_bounded, materialize
 
 #: Vocabularies and projection matrices pass through the driver and to every
 #: executor, so their size is checked against these limits.
@@ -88,7 +88,7 @@ def _checked_terms(terms: list[str]) -> list[str]:
     if len(terms) > MAX_VOCABULARY_TERMS or sum(map(len, terms)) > MAX_VOCABULARY_CHARS:
         raise ValueError(
             f"the vocabulary has more than {MAX_VOCABULARY_TERMS} terms or "
-            f"{MAX_VOCABULARY_CHARS} characters; set max_features, or use tfidf_table"
+            f"{MAX_VOCABULARY_CHARS} characters; set max_features, or use tfidf_vectors or tfidf_table"
         )
     return terms
 
@@ -354,3 +354,66 @@ class TruncatedSvdModel:
         return df.withColumn(
             self.out, array_to_vector(project(cells["indices"], cells["values"]))
         )
+
+
+# --- vectors from a vocabulary table -------------------------------------------
+
+def term_ids(terms: DataFrame, term: str = "term", out: str = "idx") -> DataFrame:
+    """``terms`` (a row per term) with dense ids from 0 in alphabetical order, any number of them.
+
+    Terms are placed by ranges and sorted in their place; a term's id is the count
+    of terms in earlier places and its own rank in its place. The placed table is
+    written once, since ranges may be cut otherwise when computed again. Null terms get none.
+    """
+    within = (1 << 33) - 1  # the part of Spark's number that counts rows within a task
+    placed = terms.where(F.col(term).isNotNull()).repartitionByRange(term).sortWithinPartitions(term)
+    placed = materialize(placed.withColumn("_number", F.monotonically_increasing_id()), "terms")
+    part = F.shiftright("_number", 33)
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
+    # one row per place, of which there are as many as shuffle partitions
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    numbered = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+    number = F.col("_offset") + F.col("_number").bitwiseAND(F.lit(within))
+    return numbered.withColumn(out, number).drop("_part", "_number", "_offset")
+
+
+def sparse_vectors(
+    cells: DataFrame, ids: DataFrame, id_col: str = "doc_id", hot_terms: int = HOT_TERMS, frequency: str = "df",
+) -> DataFrame:
+    """``(id, indices, values)`` from cells ``(id, term, weight)`` and ``ids (term, idx, df)``.
+
+    Indices rise. Cells of the ``hot_terms`` most common terms meet a broadcast of
+    fixed size, the others are shuffled by term, as in :func:`tfidf_table`. A vector
+    is put together from the cells of one text. Texts without a cell have no row;
+    cells of terms that ``ids`` lacks are left out.
+    """
+    hot = broadcast_bounded(
+        ids.orderBy(F.desc(frequency), "term").limit(hot_terms).select("term", "idx"), hot_terms)
+    common = cells.join(hot, "term").select(id_col, "idx", "weight")
+    rare = cells.join(hot.select("term"), "term", "left_anti").join(ids.select("term", "idx"), "term")
+    both = common.unionByName(rare.select(id_col, "idx", "weight"))
+    vectors = both.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("idx", "weight"))).alias("_cells"))
+    return vectors.select(id_col, F.col("_cells.idx").alias("indices"), F.col("_cells.weight").alias("values"))
+
+
+def tfidf_vectors(
+    df: DataFrame, id_col: str = "doc_id", text: str = "posts", stop_words: Iterable[str] = (),
+) -> tuple[DataFrame, DataFrame]:
+    """Sparse TF-IDF vectors of all texts over all their terms, and the table of term ids ``(term, df, idx)``.
+
+    No vocabulary passes through the driver and none is too large. Weights are
+    those of :func:`tfidf_table`.
+    """
+    ids = term_ids(document_frequency(df, text, stop_words))
+    cells = materialize(
+        tfidf_table(df, id_col, text, stop_words, frequency=ids.select("term", "df"), n_texts=df.count()), "cells")
+    return sparse_vectors(cells, ids, id_col), ids
+
+
+def as_ml_vectors(vectors: DataFrame, size: int, out: str = "features") -> DataFrame:
+    """``indices`` and ``values`` as one MLlib vector; ``size`` below 2^31, which is MLlib's limit."""
+    if size >= 1 << 31:
+        raise ValueError("an MLlib vector has less than 2^31 columns; work on indices and values")
+    vector = F.udf(lambda i, v: Vectors.sparse(size, i, v), VectorUDT())
+    return vectors.withColumn(out, vector("indices", "values")).drop("indices", "values")

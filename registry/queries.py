@@ -12,10 +12,10 @@ from labeltext.functions import text as tx
 from labeltext.operators import classify as cl
 from labeltext.operators import decompose, dedup, evaluate, features, filters, scoring, sequences, stats
 from labeltext.operators.topk import build_vocab as build_vocab_of
-from labeltext.plans import evaluate_experiment, run_experiment, funnel as funnel_of, prepare_corpus as prepare
+from labeltext.plans import evaluate_experiment, run_experiment, funnel as funnel_of, prepare_corpus as prepare, write_accounted
 from labeltext.session import materialize, scratch_path
 from labeltext.operators.neural import fit_sequences
-from labeltext.sources import ArtifactStore, read_posts, write_corpus, write_report
+from labeltext.sources import ArtifactStore, read_corpus, read_posts, write_corpus, write_report
 from labeltext.streaming import read_text_stream, score_stream_by_version, scored_batches
 from registry.inputs import (
     CLASS_NAMES,
@@ -49,6 +49,32 @@ def csv_roundtrip(spark, sf_dir):
     return read_posts(spark, path, id_from="doc_id")
 
 
+#: What a task reads of a file in the queries on splits; small, so that records cross many borders.
+CSV_SPLIT = 512 << 10
+
+
+@query
+def csv_split_roundtrip(spark, sf_dir):
+    """Posts with quotes and line breaks, their files read by many tasks each."""
+    path = scratch_path(spark, "csv")
+    raw = texts(spark, sf_dir, "documents", "doc_id").select(
+        "doc_id", F.col("source").alias("author_flair_text"),
+        F.concat(F.lit('"'), F.replace(F.col("text"), F.lit(" "), F.lit("\n")), F.lit('",\n')).alias("body"))
+    write_corpus(raw, path)
+    return read_posts(spark, path, id_from="doc_id", split=True, split_bytes=CSV_SPLIT)
+
+
+@query
+def corpus_split_rows(spark, sf_dir):
+    """The cleaned corpus as read back from split files: rows, different row numbers and texts per class."""
+    path = scratch_path(spark, "csv")
+    write_corpus(prepare(posts(spark, sf_dir), mention_vocab=LEAK_WORDS, ordered=False), path)
+    read = read_corpus(spark, path, split=True, split_bytes=CSV_SPLIT)
+    return read.groupBy("type").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("numbers"),
+        F.sum(F.char_length("posts")).alias("chars"), F.min(F.md5("posts")).alias("least"))
+
+
 @query
 def encoders_roundtrip(spark, sf_dir):
     """The second of two saved sequence vocabularies, as read back."""
@@ -186,6 +212,13 @@ def funnel(spark, sf_dir):
     return funnel_of(posts(spark, sf_dir), mention_vocab=LEAK_WORDS)
 
 
+@query
+def accounted_corpus(spark, sf_dir):
+    """Rows per step as counted by the job that writes the corpus, and whether its wall time was taken."""
+    accounts = write_accounted(posts(spark, sf_dir), scratch_path(spark, "corpus"), mention_vocab=LEAK_WORDS)
+    return accounts.select("step_no", "step", "rows_before", "rows_after", "removed", (F.col("seconds") > 0).alias("timed"))
+
+
 # --- duplicates and vocabulary ------------------------------------------------
 
 @query
@@ -328,6 +361,14 @@ def tfidf_table(spark, sf_dir):
     return t.withColumn("weight", F.round("weight", 6))
 
 
+@query
+def tfidf_vectors(spark, sf_dir):
+    """The cells of sparse vectors over every term of the corpus."""
+    vectors, _ = features.tfidf_vectors(corpus(spark, sf_dir))
+    cells = F.arrays_zip(F.col("indices").alias("idx"), F.col("values").alias("weight"))
+    return vectors.select("doc_id", F.inline(cells)).withColumn("weight", F.round("weight", 6))
+
+
 @query
 def count_vectors(spark, sf_dir):
     docs = corpus(spark, sf_dir)

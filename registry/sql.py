@@ -127,6 +127,8 @@ def cell(nxy: str, nx: str, ny: str) -> str:
 
 ORACLE: dict[str, str] = {
     "csv_roundtrip": "select doc_id as row_id, source as author_flair_text, text as body from documents",
+    "csv_split_roundtrip": """select doc_id as row_id, source as author_flair_text,
+        '"' || replace(text, ' ', chr(10)) || '",' || chr(10) as body from documents""",
     "extract_label": f"select row_id, author_flair_text, {label_of('author_flair_text')} as type from {POSTS}",
     "extract_label_orders": (
         "select o_orderkey, "
@@ -271,6 +273,13 @@ ORACLE: dict[str, str] = {
             / (1.0 + df)) + 1) as w from counts join freq using (term))
         select doc_id, term, round(w / sqrt(sum(w * w) over (partition by doc_id)), 6) as weight
         from weights""",
+    "tfidf_vectors": f"""with {TOKENS},
+        counts as (select doc_id, term, count(*) as n from tokens group by doc_id, term),
+        freq as (select term, count(*) as df, row_number() over (order by term) - 1 as idx from counts group by term),
+        weights as (select doc_id, idx, n * (ln((1.0 + (select count(*) from documents))
+            / (1.0 + df)) + 1) as w from counts join freq using (term))
+        select doc_id, idx, round(w / sqrt(sum(w * w) over (partition by doc_id)), 6) as weight
+        from weights""",
     "count_vectors": f"""with {TOKENS},
         top as (select term from tokens group by term order by count(*) desc, term limit 1000),
         vocab as (select term, (row_number() over (order by term) - 1)::int as idx from top)
@@ -358,3 +367,6 @@ ORACLE: dict[str, str] = {
 
 ORACLE["encoders_roundtrip"] = ORACLE["sequence_vocab"]
 ORACLE["report_roundtrip"] = ORACLE["classification_report"]
+ORACLE["accounted_corpus"] = f"select *, true as timed from ({ORACLE['funnel']})"
+ORACLE["corpus_split_rows"] = f"""select type, count(*) as n, count(*) as numbers, sum(length(posts))::bigint as chars,
+    min(md5(posts)) as least from ({ORACLE['prepare_corpus']}) group by type"""
