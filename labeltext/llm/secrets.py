@@ -3,6 +3,10 @@
 Every version of a text is a blob, addressed by the digest of its content. A
 blob is scanned once per rule version, however many paths hold it, and not at
 all if the ledger already has it. Findings are joined back to every path.
+
+A ledger is a table ``(blob, rule, spans)`` with a row per pair that was scanned,
+spans or none. ``update_ledger`` gives the rows that a run adds, ``scan_with_ledger``
+keeps them in a folder from run to run.
 """
 
 from __future__ import annotations
@@ -49,6 +53,8 @@ MORE_RULES = (
 
 RULES = BASE_RULES + MORE_RULES
 
+LEDGER_SCHEMA = "blob string, rule string, spans array<struct<start:bigint,end:bigint>>"
+
 
 def _fast(rule: Rule) -> str:
     """A pattern that every text with a kept match fits; cheaper than the rule's own."""
@@ -91,14 +97,29 @@ def rule_key(rule: Rule) -> str:
 def address(docs: DataFrame, text_col: str = "text", history_col: str | None = None) -> DataFrame:
     """``docs`` with ``_blob``; with ``history_col`` (array of older texts) a row per version.
 
-    A null text is the empty text.
+    Versions are numbered in ``_version``: 0 the text itself, then the older ones in
+    the order of the array. A null text is the empty text, a null array holds none.
     """
     if history_col:
         versions = F.concat(F.array(F.col(text_col)), F.coalesce(F.col(history_col), F.array().cast("array<string>")))
-        docs = docs.withColumn(text_col, F.explode(versions)).drop(history_col)
+        others = [quoted(c) for c in docs.columns if c not in (text_col, history_col)]
+        docs = docs.select(*others, F.posexplode(versions).alias("_version", text_col))
     return docs.withColumn("_blob", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
 
 
+def unseen(blobs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """``(blob, _seen)`` of the blobs that ``ledger`` lacks for some rule; digests alone are shuffled.
+
+    Written, so that what follows knows its size: where few blobs or none are new,
+    no text is shuffled to find that out.
+    """
+    keys = [rule_key(r) for r in rules]
+    seen = ledger.where(F.col("rule").isin(keys)).groupBy("blob").agg(F.collect_set("rule").alias("_seen"))
+    digests = blobs.select(F.col("_blob").alias("blob")).distinct()
+    lacking = digests.join(seen, "blob", "left").where(F.coalesce(F.size("_seen"), F.lit(0)) < len(set(keys)))
+    return materialize(lacking, "unseen")
+
+
 def scan(blobs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Ledger rows ``(blob, rule, spans)`` of the pairs that ``ledger`` lacks.
 
@@ -106,13 +127,14 @@ def scan(blobs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, .
     map side, so a blob that is a third of all rows costs a row per task. Without
     a match ``spans`` is empty: the pair counts as seen.
     """
-    one = blobs.groupBy("_blob").agg(F.first("text").alias("_text"))
-    if ledger is not None:
-        seen = ledger.groupBy("blob").agg(F.collect_set("rule").alias("_seen"))  # at most one entry a rule
-        one = one.join(seen, one["_blob"] == seen["blob"], "left").drop("blob")
-        fresh = [~F.coalesce(F.array_contains("_seen", rule_key(r)), F.lit(False)) for r in rules]
+    fresh = [F.lit(True)] * len(rules)
+    if ledger is None:
+        one = blobs.groupBy("_blob").agg(F.first("text").alias("_text"))
     else:
-        fresh = [F.lit(True)] * len(rules)
+        new = unseen(blobs, ledger, rules)
+        rows = blobs.join(new, blobs["_blob"] == new["blob"])
+        one = rows.groupBy("_blob").agg(F.first("text").alias("_text"), F.first("_seen").alias("_seen"))
+        fresh = [~F.coalesce(F.array_contains("_seen", rule_key(r)), F.lit(False)) for r in rules]
     text = F.coalesce(F.col("_text"), F.lit(""))
     each = F.array(*(
         F.struct(F.lit(rule_key(r)).alias("rule"), F.when(f, find_spans(text, r)).alias("spans"))
@@ -133,7 +155,8 @@ def findings_by_blob(held: DataFrame, ledger: DataFrame | None, rules: tuple[Rul
     """``(blob, findings)`` of the blobs of ``held`` that have any, with those of ``ledger``."""
     rows = scan(held, ledger, rules)
     if ledger is not None:
-        rows = rows.unionByName(ledger.select("blob", "rule", "spans"))
+        # two runs at a time may have added the same pair
+        rows = rows.unionByName(ledger.select("blob", "rule", "spans").where("size(spans) > 0").dropDuplicates(["blob", "rule"]))
     place = F.create_map(*(x for i, r in enumerate(rules) for x in (F.lit(rule_key(r)), F.lit(i))))
     rows = rows.where((F.size("spans") > 0) & F.col("rule").isin([rule_key(r) for r in rules]))
     spans = F.transform("spans", lambda x: F.struct(
@@ -143,24 +166,57 @@ def findings_by_blob(held: DataFrame, ledger: DataFrame | None, rules: tuple[Rul
     return materialize(by_blob, "findings")
 
 
+def update_ledger(docs: DataFrame, text_col: str = "text", ledger: DataFrame | None = None,
+                  rules: tuple[Rule, ...] = RULES, history_col: str | None = None) -> DataFrame:
+    """The rows ``(blob, rule, spans)`` that a scan of all versions in ``docs`` adds to ``ledger``, written.
+
+    Every pair of a blob and a rule version that ``ledger`` lacks has a row, with no
+    spans where nothing was found, so the next run scans it no more. Null texts are
+    the empty text; repeated texts add one blob; an empty table adds nothing.
+    """
+    columns = [F.col(text_col).alias("text"), *([F.col(history_col).alias("_history")] if history_col else [])]
+    held = address(docs.select(*columns), "text", "_history" if history_col else None)
+    return materialize(scan(held, ledger, rules), "ledger")
+
+
 def scan_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+                   ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES,
+                   history_col: str | None = None) -> DataFrame:
     """Every row of ``docs`` (id only) with ``_blob`` and ``findings``.
 
     ``findings``: array of ``(start, place, end)``, place being that of the rule in
     ``rules``, for all rules, those found in earlier runs included. Null or empty
-    texts have none. Columns other than the two named are not read; repeated rows
-    are all returned.
+    texts have none. With ``history_col``, an array of older texts, every version
+    has a row with its number in ``_version`` (0: the text itself). Other columns are
+    not read; repeated rows are all returned.
     """
-    held = address(docs.select(F.col(id_col), F.col(text_col).alias("text")))
+    columns = [quoted(id_col), F.col(text_col).alias("text"), *([F.col(history_col).alias("_history")] if history_col else [])]
+    held = address(docs.select(*columns), "text", "_history" if history_col else None)
     by_blob = findings_by_blob(held, ledger, rules)
     empty = F.array().cast("array<struct<start:bigint,place:int,end:bigint>>")
-    paths = held.select(id_col, "_blob")
+    version = ["_version"] if history_col else []
+    paths = held.select(quoted(id_col), *version, "_blob")
     return paths.join(by_blob, paths["_blob"] == by_blob["blob"], "left").select(
-        id_col, "_blob", F.coalesce("findings", empty).alias("findings")
+        quoted(id_col), *version, "_blob", F.coalesce("findings", empty).alias("findings")
     )
 
 
+def scan_with_ledger(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
+                     rules: tuple[Rule, ...] = RULES, history_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """:func:`scan_documents` against the ledger kept at ``path``, and the rows that this run added to it.
+
+    The first run makes the folder, later ones append to it. A run that fails has
+    added either all its rows or none and can be repeated.
+    """
+    spark = docs.sparkSession
+    spark.createDataFrame([], LEDGER_SCHEMA).write.mode("ignore").parquet(path)
+    ledger = spark.read.schema(LEDGER_SCHEMA).parquet(path)
+    added = update_ledger(docs, text_col, ledger, rules, history_col)
+    added.write.mode("append").parquet(path)
+    whole = spark.read.schema(LEDGER_SCHEMA).parquet(path)
+    return scan_documents(docs, id_col, text_col, whole, rules, history_col), added
+
+
 def redact(text: Column, findings: Column, mark: str = "[secret]") -> Column:
     """``text`` with every found span, or union of spans that overlap, as ``mark``."""
     state = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
