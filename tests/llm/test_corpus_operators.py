@@ -4,6 +4,7 @@ import collections
 import hashlib
 import itertools
 import math
+import random
 import zlib
 
 import pytest
@@ -55,6 +56,66 @@ def test_suffix_tree_sums_to_one(spark):
     assert 0.2 < sum(10 ** r["score"] for r in scored) <= 1 + 1e-9
 
 
+def brute_tree(texts):
+    """Tree and smoothed counts over tuples of words: ``(counts, base, kept)``; ``kept[context]``: rest, listed."""
+    rows = [(t or "").encode().translate(LOW).split() + [None] for t in texts]
+    counts = collections.Counter(x for w in rows for x in w)
+    norm = sum(counts.values()) + len(counts) + 1
+    least = max(2.0, suffixtree.P_MIN * sum(counts.values()))
+    base = lambda x: (counts[x] + 1) / norm
+    known, kept = {(x,): n for x, n in counts.items() if n >= least and x is not None}, {}
+    for size in range(1, suffixtree.MOST_WORDS + 1):
+        after = collections.defaultdict(collections.Counter)
+        for w in rows:
+            for i in range(size, len(w)):
+                if tuple(w[i - size : i]) in known and counts[w[i]] >= least:
+                    after[tuple(w[i - size : i])][w[i]] += 1
+        longer, new = {}, {}
+        for context, tokens in after.items():
+            tokens = {x: n for x, n in tokens.items() if n >= least}
+            longer |= {(*context, x): n for x, n in tokens.items() if x is not None}
+            n_all = known[context]
+            before = {x: brute_probability(kept, base, context[1:], x) for x in tokens}
+            gain = sum(n * math.log(n / n_all / before[x]) for x, n in tokens.items())
+            other = n_all - sum(tokens.values())
+            if other > 0:
+                gain += other * math.log(other / n_all / max(1 - sum(before.values()), 1e-12))
+            width = len(tokens)
+            if width and gain >= suffixtree.LEAST_GAIN * n_all and gain >= width + 3 * math.sqrt(2 * width) + 10:
+                listed = {x: (n - suffixtree.DISCOUNT) / n_all for x, n in tokens.items()}
+                new[context] = 1 - sum(listed.values()), listed
+        known = longer
+        kept |= new
+    return counts, base, kept
+
+
+def brute_probability(kept, base, before, token):
+    p = base(token)
+    for size in range(1, min(len(before), suffixtree.MOST_WORDS) + 1):
+        rest, listed = kept.get(tuple(before[-size:]), (1.0, {}))
+        p = p * rest + listed.get(token, 0.0)
+    return p
+
+
+def test_suffix_tree_equals_brute_force(spark):
+    """Scores of learnt and of other texts, with contexts of every length in use."""
+    draw = random.Random(5)
+    words = [f"w{i}" for i in range(12)]
+    passages = [" ".join(draw.choices(words, k=9)) for _ in range(6)]
+    texts = [" ".join([*draw.choices(words, k=4), draw.choice(passages), *draw.choices(words, k=3)]) for _ in range(600)]
+    texts += [None, "", "W1 once only", "never"]
+    counts, base, kept = brute_tree(texts)
+    assert {len(c) for c in kept} == set(range(1, suffixtree.MOST_WORDS + 1))
+    asked = [*texts[:80], *texts[-4:], *passages, "w1 w2 unheard w3 " * 3]
+    learnt = suffixtree.learn(made_up(spark, texts))
+    assert sum(len(c.keys) for c, _ in learnt[1].levels) == len(kept)
+    got = {r["doc_id"]: r["score"] for r in suffixtree.score(made_up(spark, asked), *learnt).collect()}
+    for i, text in enumerate(asked):
+        w = (text or "").encode().translate(LOW).split() + [None]
+        want = sum(math.log10(brute_probability(kept, base, w[:j], x)) for j, x in enumerate(w))
+        assert got[i] == pytest.approx(want, rel=1e-9)
+
+
 def test_suffix_tree_odd_rows(odd_docs, no_docs):
     learnt = suffixtree.learn(odd_docs)
     rows = suffixtree.score(odd_docs, *learnt).collect()
