@@ -15,10 +15,9 @@ from pyspark.sql import functions as F
 
 from labeltext.session import materialize
 
-#: Longest word looked up in a name, and longest stretch of a name split at once
-#: (names in host names have 63 characters at most; longer ones are split in parts).
-WORD_LENGTH = 20
-NAME_LENGTH = 63
+#: Longest word looked up in a name. Names in host names have 63 characters at most, so no
+#: longer word can be in one; a longer name, which no resolver takes, is split as a whole too.
+WORD_LENGTH = 63
 
 #: Verdict, then host and path of each rule.
 RULES = (
@@ -86,7 +85,7 @@ def segment(names: DataFrame, counts: DataFrame, total: float) -> DataFrame:
     """``(name, words)`` for distinct ``name`` of letters.
 
     All stretches of a name are looked up by a join, so the word list is neither
-    broadcast nor bounded; a name has NAME_LENGTH * WORD_LENGTH of them at most.
+    broadcast nor bounded; a name has WORD_LENGTH of them for each of its letters at most.
     """
     places = F.sequence(F.lit(1), F.length("name"))
     sizes = F.sequence(F.lit(1), F.least(F.lit(WORD_LENGTH), F.length("name") - F.col("start") + 1))
@@ -108,9 +107,8 @@ def segment(names: DataFrame, counts: DataFrame, total: float) -> DataFrame:
 
 
 def _names(host: Column) -> Column:
-    """The letter runs of a host, those too long in parts."""
-    cut = F.regexp_replace(host, "([a-z]{%d})(?=[a-z])" % NAME_LENGTH, "$1.")
-    return F.filter(F.split(cut, "[^a-z]+"), lambda x: x != "")
+    """The letter runs of a host."""
+    return F.filter(F.split(host, "[^a-z]+"), lambda x: x != "")
 
 
 def path_words(path: Column) -> Column:
@@ -126,7 +124,10 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
     ``score`` is the log odds of blocking by the model, null where a rule decides.
     URLs without ``://`` and null ones have an empty host and path and are judged
     by the model's prior. Rows with equal URLs are scored once and all returned.
-    Without a URL of each kind to learn from, the model allows.
+    Without a URL of each kind to learn from, the model allows. Null and empty pages
+    have no words; an empty table gives no rows; odds of exactly zero allow, and of
+    equally likely splits the one whose last word is longest is taken, then the one
+    whose word before it is, and so on. Columns other than the three named are not read.
 
     Word counts and model are tables joined by word; hot words and hosts are left
     to skew joins, and counts are combined before any shuffle.

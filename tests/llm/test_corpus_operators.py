@@ -296,6 +296,37 @@ def test_mix_keeps_shares(spark, parts):
     check_mix(rows, parts, 3, 4)
 
 
+def brute_mix(rows, parts, rest, block):
+    """``(slot, offset)`` of every ``(id, source)``: frames in turn, in each the earliest deadline first."""
+    queues = collections.defaultdict(list)
+    for i, source in rows:
+        digest = hashlib.md5(str(i).encode()).hexdigest()
+        queues[source if source in parts else ""].append((int(digest[:8], 16) % mixing.GROUPS, digest, i))
+    blocks = {}
+    for source, queue in queues.items():
+        ids = [i for *_, i in sorted(queue)]
+        blocks[source] = [ids[i : i + block] for i in range(0, len(ids), block)]
+    weights, place, base = {**parts, "": rest}, {}, 0
+    while any(blocks.values()):
+        size = {s: min(weights[s], len(b)) for s, b in blocks.items() if b}
+        total, done = sum(size.values()), collections.Counter()
+        for slot in range(total):
+            ready = [(-(-(done[s] + 1) * total // n), s) for s, n in size.items() if done[s] < n and done[s] * total // n <= slot]
+            source = min(ready)[1]
+            done[source] += 1
+            for offset, i in enumerate(blocks[source].pop(0)):
+                place[i] = base + slot, offset
+        base += total
+    return place
+
+
+def test_mix_equals_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "source")
+    rows = [tuple(r) for r in docs.collect()] + [(10**7 + i, "src0") for i in range(300)]  # one source holds most
+    got = mixing.interleave(spark.createDataFrame(rows, docs.schema), queries.SOURCE_PARTS, block_rows=3).collect()
+    assert {r["doc_id"]: (r["_slot"], r["_offset"]) for r in got} == brute_mix(rows, queries.SOURCE_PARTS, 1, 3)
+
+
 def test_mix_odd_rows(odd_docs, no_docs):
     rows = mixing.interleave(odd_docs, {"src0": 2}, block_rows=2)
     assert rows.columns[: len(odd_docs.columns)] == odd_docs.columns

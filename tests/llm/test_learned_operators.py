@@ -1,9 +1,12 @@
 """URL verdicts, nearest neighbours, toxicity and the pipeline."""
 
+import collections
+import math
 import re
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -54,6 +57,66 @@ def test_url_model_learns(spark):
     assert got[100] == "block" and got[101] == "allow"
 
 
+def brute_split(name, counts, total):
+    """The likeliest split by trying every last word, without a bound on its length."""
+    best = {0: (0.0, [])}
+    for end in range(1, len(name) + 1):
+        ways = []
+        for start in range(end):
+            word = name[start:end]
+            cost = math.log(counts[word] / total) if word in counts else -math.log(total) - len(word) * math.log(10)
+            ways.append((best[start][0] + cost, -start, [*best[start][1], word]))
+        best[end] = max(ways, key=lambda w: w[:2])[::2]
+    return best[len(name)][1]
+
+
+def brute_judge(rows):
+    """Verdicts and scores of ``(id, url, html)`` by counting in dictionaries."""
+    low = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t)
+    counts = collections.Counter(
+        w for _, _, h in rows for w in re.split("[^a-z]+", low(re.sub("<[^<>]*>", " ", h or ""))) if 0 < len(w) <= 63)
+    total = sum(counts.values()) or 1
+    verdicts = {rule: v for v, rule in urls.RULES}
+    tokens, learnt = {}, {"allow": collections.Counter(), "block": collections.Counter()}
+    kinds = collections.Counter()
+    for i, url, _ in rows:
+        host, path, rule = brute_url(url)
+        words = [w for n in re.split("[^a-z]+", host) if n for w in brute_split(n, counts, total)]
+        parts = regex.split(r"[^\p{L}0]+", re.sub("[0-9]+", "0", low(path)))
+        tokens[i] = rule, words + ["/" + x for x in parts if x]
+        if rule:
+            kinds[verdicts[rule]] += 1
+            learnt[verdicts[rule]].update(tokens[i][1])
+    size = len(set(learnt["allow"]) | set(learnt["block"]))
+    a_all, b_all = (sum(learnt[v].values()) + size + 1 for v in ("allow", "block"))
+    both = kinds["allow"] and kinds["block"]
+    prior = math.log(kinds["block"] / kinds["allow"]) if both else 0.0
+    out = {}
+    for i, (rule, words) in tokens.items():
+        score = None if rule else prior + sum(math.log(
+            (learnt["block"][w] + 1) / b_all / ((learnt["allow"][w] + 1) / a_all)) for w in words)
+        out[i] = verdicts[rule] if rule else "block" if both and score > 0 else "allow", score
+    return out
+
+
+@pytest.mark.parametrize("made_up", [False, True])
+def test_url_verdicts_equal_brute_force(spark, made_up):
+    if made_up:
+        long = "antidisestablishmentarianism"
+        rows = [(i, f"http://{long if i % 3 else 'cat'}{'dog' * (i % 4)}.com/{'de' if i % 2 else 'fr'}/{i}", f"{long} cat dog") for i in range(30)]
+        rows += [(100, f"https://{long}cat.net/a", ""), (101, "x://" + "catdog" * 20 + ".net", None), (102, None, "cat")]
+        df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    else:
+        df = spark.read.parquet(f"{SF}/pages.parquet")
+        rows = [tuple(r) for r in df.select("page_id", "url", "html").collect()]
+    want = brute_judge(rows)
+    got = {r["page_id"]: (r["verdict"], r["score"]) for r in urls.judge(df).collect()}
+    assert got.keys() == want.keys()
+    for i, (verdict, score) in want.items():
+        assert got[i][1] is None if score is None else got[i][1] == pytest.approx(score, rel=1e-9, abs=1e-9)
+        assert got[i][0] == verdict or abs(score) < 1e-9
+
+
 def brute_nearest(rows, asked, k):
     fine = [(i, np.array(v, float)) for i, v in rows if i is not None and v and None not in v]
     fine = [(i, v) for i, v in fine if np.isfinite(v).all() and v.any()]

@@ -121,6 +121,47 @@ def test_fingerprints_of_next_and_edited(odd_docs, some_docs):
     assert fingerprints.compare_with_next(odd_docs).count() == odd_docs.count()
 
 
+def brute_prints(spark, texts, k=5, window=9):
+    """``{text: [(hash, place)]}``: the least of each window, rightmost among equals; hashes alone are Spark's."""
+    words = {t: t.encode().split() for t in texts}
+    grams = {t: [w[i : i + k] for i in range(max(len(w) - k + 1, min(len(w), 1)))] for t, w in words.items()}
+    distinct = sorted({b"\0".join(g).decode() for gs in grams.values() for g in gs})
+    hashed = spark.createDataFrame([(g,) for g in distinct], "g string").select(
+        "g", F.xxhash64(F.split("g", "\0")).alias("h")).collect()
+    high = {r["g"]: (r["h"] & ((1 << 63) - 1)) >> fingerprints.POSITION_BITS for r in hashed}
+    out = {}
+    for t, gs in grams.items():
+        values = [(high[b"\0".join(g).decode()], -i) for i, g in enumerate(gs)]
+        chosen = {min(values[i : i + window]) for i in range(max(1, len(values) - window + 1))} if values else set()
+        out[t] = sorted(((h, -i) for h, i in chosen), key=lambda x: x[1])
+    return out
+
+
+def test_fingerprints_equal_brute_force(spark, some_docs):
+    texts = dict(sorted(some_docs[1].items())[:150])
+    texts |= {-1: "", -2: "one", -3: "a b c d e", -4: "z " * 60, -5: "z " * 60, -6: " ".join(f"w{i % 7}" for i in range(100))}
+    rows = fingerprints.compare_with_next(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")).collect()
+    ids = sorted(texts, reverse=True)
+    follow = dict(zip(ids, ids[1:] + ids[:1]))
+    edited = {}
+    for i, t in texts.items():
+        n = len(t) // 2
+        edited[i] = t[: len(t) - n] + texts[follow[i]][:n]
+    prints = brute_prints(spark, {*texts.values(), *edited.values()})
+    shown = lambda t: " ".join(f"{h:X}@{i}" for h, i in prints[t])
+
+    def likeness(a, b):
+        a, b = ({h for h, _ in prints[t]} for t in (a, b))
+        return len(a & b) / len(a | b) if a | b else 1.0
+
+    assert len(rows) == len(texts)
+    for r in rows:
+        i = r["doc_id"]
+        assert (r["fingerprint"], r["edited_fingerprint"]) == (shown(texts[i]), shown(edited[i]))
+        assert r["near_edited"] == pytest.approx(likeness(texts[i], edited[i]))
+        assert r["near_next"] == pytest.approx(likeness(texts[i], texts[follow[i]]))
+
+
 def test_places_do_not_change_the_order(some_docs, monkeypatch):
     df, _ = some_docs
     want = fingerprints.compare_with_next(df).orderBy("doc_id").collect()
