@@ -132,11 +132,12 @@ def _impacts(counts: DataFrame, n_docs: int, n_terms: int, weights: np.ndarray)
 
 
 class Bucket:
-    """Vectors with the longest first, also by term."""
+    """Some vectors in any order, also by term; a batch may hold the ends of several files."""
 
     def __init__(self, lengths: np.ndarray, ids: np.ndarray, bounds: np.ndarray, places: np.ndarray,
                  impacts: np.ndarray, width: int):
         self.lengths, self.ids, self.bounds, self.places, self.impacts = lengths, ids, bounds, places, impacts
+        self.longest = lengths.max(initial=0.0)
         row = np.repeat(np.arange(len(ids)), np.diff(bounds))
         order = np.argsort(places, kind="stable")
         self.rows, self.by_term = row[order], impacts[order].astype(float)
@@ -149,7 +150,7 @@ class Bucket:
     def candidates(self, places: np.ndarray, weights: np.ndarray, least: int) -> np.ndarray:
         """Rows that may score ``least`` or more for the query ``places``."""
         w = weights[places]
-        if math.sqrt(w.sum()) * self.lengths[0] < least * SLACK:
+        if math.sqrt(w.sum()) * self.longest < least * SLACK:
             return np.zeros(0, np.int64)  # Cauchy-Schwarz: no vector of the bucket is long enough
         bound = w * self.most[places]
         order = np.argsort(-bound, kind="stable")
@@ -177,7 +178,8 @@ class Bucket:
 def _search(vectors: DataFrame, queries: Queries, floor: np.ndarray, k: int) -> DataFrame:
     """``(query, id, score)``: what each task has of the ``k`` best of every query.
 
-    ``vectors`` come longest first; ``floor``: a score that ``k`` documents are known to reach.
+    ``vectors`` come longest first within each file, which prunes well; the result does not
+    depend on it. ``floor``: a score that ``k`` documents are known to reach.
     """
     weights, width = queries.weights, len(queries.terms)
 

@@ -99,6 +99,23 @@ def test_buckets_are_pruned():
     assert bucket.scores(np.array([0, 3]), np.array([100, 1])).tolist() == [90_000, 5]
 
 
+def test_buckets_of_several_files():
+    """A long vector behind a short one, as where a task reads several files, is not skipped."""
+    bounds, places, impacts = np.arange(3), np.array([0, 0]), np.array([5, 900])
+    weights = np.array([100.0])
+    bucket = lexical.Bucket(np.sqrt(weights[places]) * impacts, np.arange(2), bounds, places, impacts, 1)
+    assert bucket.candidates(np.array([0]), weights, 80_000).tolist() == [1]
+
+
+def test_search_over_files_in_one_task(spark):
+    """Lengths rise from file to file within a task; thresholds of earlier files must not hide later ones."""
+    docs = [(i, "w " * (1 + i % 40) + f"own{i % 7} " + "pad " * (i % 13)) for i in range(600)]
+    items = [(1, "w own3"), (2, "own1 own2 pad")]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = rows(lexical.search(df, spark.createDataFrame(items, "item_id bigint, text string"), 3))
+    assert got == ranked(docs, items, 3)
+
+
 # conversations
 
 LETTERS = "suax"
