@@ -101,3 +101,10 @@ def test_too_many_classes(spark):
         cl.prepare_terms(df)
     with pytest.raises(Exception, match="classes"):
         encode_labels(df).collect()
+
+
+def test_many_blocks_change_nothing(spark, data, monkeypatch):
+    plain = linear.fit_terms(data.cells, data.train, len(data.classes), 0.01, max_iter=4)
+    monkeypatch.setattr(linear, "BLOCK_CELLS", 512)
+    cut = linear.fit_terms(data.cells, data.train, len(data.classes), 0.01, max_iter=4)
+    assert np.allclose(cut.history, plain.history, rtol=1e-9) and np.allclose(cut.intercepts, plain.intercepts)
