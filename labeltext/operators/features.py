@@ -204,30 +204,38 @@ def tfidf_table(
     they are taken apart, and the rare cells are brought to the same places, so
     the union keeps the partitioning and the many common cells never move.
     """
+    if frequency is None:
+        frequency = document_frequency(df.select(id_col, text), text, stop_words)
+    return _weighted_cells(df, id_col, text, stop_words, hot_terms, frequency, n_texts, "term")
+
+
+def _weighted_cells(
+    df: DataFrame, id_col: str, text: str, stop_words: Iterable[str], hot_terms: int, frequency: DataFrame,
+    n_texts: int | None, name: str,
+) -> DataFrame:
+    """``(id, name, weight)`` of :func:`tfidf_table`; ``name``: the column of ``frequency`` that stands for a term."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = df.select(id_col, text)
-    if frequency is None:
-        frequency = document_frequency(texts, text, stop_words)
     hot = broadcast_bounded(
         frequency.orderBy(F.desc("df"), "term").limit(hot_terms), hot_terms
     )
     common = (
         document_terms(texts.repartition(parts, id_col), [id_col], text, stop_words)
         .join(hot, "term")
-        .select(id_col, "term", "n", "df")
+        .select(id_col, name, "n", "df")
     )
     rare = (
         document_terms(texts, [id_col], text, stop_words)
         .join(hot.select("term"), "term", "left_anti")
         .join(frequency, "term")
-        .select(id_col, "term", "n", "df")
+        .select(id_col, name, "n", "df")
         .repartition(parts, id_col)
     )
     total = df.agg(F.count(F.lit(1)).cast("double")).scalar() if n_texts is None else F.lit(float(n_texts))
     idf = F.log((F.lit(1.0) + total) / (F.lit(1.0) + F.col("df"))) + 1.0
-    weighted = common.unionByName(rare).select(id_col, "term", (F.col("n") * idf).alias("w"))
+    weighted = common.unionByName(rare).select(id_col, name, (F.col("n") * idf).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
-    return weighted.select(id_col, "term", (F.col("w") / norm).alias("weight"))
+    return weighted.select(id_col, name, (F.col("w") / norm).alias("weight"))
 
 
 def tfidf_stages(
@@ -403,12 +411,13 @@ def tfidf_vectors(
     """Sparse TF-IDF vectors of all texts over all their terms, and the table of term ids ``(term, df, idx)``.
 
     No vocabulary passes through the driver and none is too large. Weights are
-    those of :func:`tfidf_table`.
+    those of :func:`tfidf_table`. A term's id comes with its frequency, and the weights
+    are made where a text's cells are together, so no cell moves again.
     """
     ids = term_ids(document_frequency(df, text, stop_words))
-    cells = materialize(
-        tfidf_table(df, id_col, text, stop_words, frequency=ids.select("term", "df"), n_texts=df.count()), "cells")
-    return sparse_vectors(cells, ids, id_col), ids
+    cells = _weighted_cells(df, id_col, text, stop_words, HOT_TERMS, ids.select("term", "df", "idx"), df.count(), "idx")
+    vectors = cells.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("idx", "weight"))).alias("_cells"))
+    return vectors.select(id_col, F.col("_cells.idx").alias("indices"), F.col("_cells.weight").alias("values")), ids
 
 
 def as_ml_vectors(vectors: DataFrame, size: int, out: str = "features") -> DataFrame:

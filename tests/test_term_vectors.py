@@ -36,3 +36,16 @@ def test_hot_and_rare_terms_meet(spark):
     ids = features.term_ids(spark.createDataFrame([("b", 2), ("a", 1)], "term string, df long"))
     got = {r.doc_id: (r.indices, r.values) for r in features.sparse_vectors(cells, ids, hot_terms=1).collect()}
     assert got == {1: ([0, 1], [1.0, 2.0]), 2: ([1], [3.0])}
+
+
+def test_vectors_move_cells_once(spark):
+    """Texts and rare cells are placed by id once; weights and vectors are made in that place."""
+    from registry.inputs import corpus
+
+    df = corpus(spark, "/root/testdata/sf0.001")
+    vectors, _ = features.tfidf_vectors(df)
+    plan = vectors._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert "Window" in plan
+    above = plan[: plan.index("Window")]
+    assert "Exchange" not in above  # no shuffle between weights and vectors
+    assert plan.count("Scan parquet") <= 12 and "cells-" not in plan  # no written table of cells
