@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from labeltext.llm.keyfilter import key_filter, rows_in
 from labeltext.llm.names import free_name, quoted
-from labeltext.llm.textvec import Rolling, mix, words
+from labeltext.llm.textvec import FEW_BYTES, Rolling, mix, words
 from labeltext.session import materialize
 
 #: Orders, and hashes that neighbours have to share at least: two sets that are 0.8
@@ -55,7 +55,7 @@ def shingle_sets(texts: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray, np.
     A row with fewer than ``k`` words has one shingle of all of them, one without
     words none.
     """
-    for part in words(texts, lower=True):
+    for part in words(texts, lower=True, chunk_bytes=FEW_BYTES):
         h = part.hashes()
         roll = Rolling(h, 0xD6E8FEB86659FD93)
         n = np.diff(part.bounds)

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labeltext.llm.names import quoted
-from labeltext.llm.textvec import words
+from labeltext.llm.textvec import FEW_BYTES, words
 
 #: Bytes of a word's beginning that are features besides the whole word.
 PREFIXES = (3, 4, 5, 6)
@@ -63,7 +63,7 @@ def _looked_up(texts: pa.Array, features: np.ndarray) -> tuple[np.ndarray, np.nd
     # a small table by the low bits keeps most look-ups from a search
     maybe = np.zeros(1 << 20, bool)
     maybe[(features & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-    for part in words(texts, lower=True, pieces=True):
+    for part in words(texts, lower=True, pieces=True, chunk_bytes=FEW_BYTES):
         row, size = part.row, np.maximum(np.diff(part.bounds), FEW_WORDS)
         found = [(np.arange(len(row)), part.hashes()), *(part.prefixes(n) for n in PREFIXES)]
         for kind, (which, h) in enumerate(found):
@@ -79,7 +79,7 @@ def _looked_up(texts: pa.Array, features: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def _all_features(texts: pa.Array) -> Iterator[np.ndarray]:
     """Hashes of all distinct features of each text, one after another, some texts at a time."""
-    for part in words(texts, lower=True, pieces=True):
+    for part in words(texts, lower=True, pieces=True, chunk_bytes=FEW_BYTES):
         row = part.row
         found = [(np.arange(len(row)), part.hashes()), *(part.prefixes(n) for n in PREFIXES)]
         r = np.concatenate([row[w] for w, _ in found])
