@@ -21,6 +21,7 @@ import struct
 import sys
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from labeltext.llm.bpe import pieces_of
+from labeltext.llm.bpe import byte_characters, pieces_of
 
 #: Fixed values of the seekable format: mark of the skippable frame, last bytes of a file, flag for checksums.
 SKIPPABLE, FILE_END, HAS_CHECKSUMS = 0x184D2A5E, b"\xb1\xea\x92\x8f", 0x80
@@ -38,10 +39,10 @@ SKIPPABLE, FILE_END, HAS_CHECKSUMS = 0x184D2A5E, b"\xb1\xea\x92\x8f", 0x80
 FILE_BYTES, FRAME_IDS = 4 << 20, 1 << 20
 
 #: Zstandard's level, and strings whose ids a worker remembers before a batch.
-LEVEL, CACHE_SIZE = 1, 200_000
+LEVEL, CACHE_SIZE = 1, 300_000
 
-#: Stretches whose ids are put together at once, or one text's.
-GATHERED = 250_000
+#: Stretches that the library gets as one text.
+JOINED = 2_000
 
 #: Marks that are a pre-token of their own at the end of a stretch after letters.
 MARKS = ".,;:!?"
@@ -55,8 +56,10 @@ class Encoder:
 
     A byte-level tokenizer never lets a pre-token go on behind a single space between
     two other characters, so texts are cut there, and every distinct stretch of a
-    batch is encoded once. A stretch of Latin characters is cut on into pre-tokens, whose
-    ids by the library are remembered. Other tokenizers get whole texts.
+    batch is encoded once. A stretch of Latin characters is cut on into pre-tokens, which go
+    straight to the library's model and are remembered. Other stretches go to the library many
+    at a time, joined by single spaces: tokens that begin with a space tell where each begins.
+    Other tokenizers get whole texts.
     """
 
     def __init__(self, text: str):
@@ -65,6 +68,8 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core already
         self.model = Tokenizer.from_str(text)
+        self.merge = self.model.model.tokenize  # of one pre-token, a character for each byte
+        self.shown = dict(enumerate(byte_characters()))
         self.cut = re.compile(r"(?<=\S) (?=\S)").split
         self.find = regex.compile(PRE_TOKENS).findall
         self.latin = re.compile(r"[\t\n\r -~\u00a1-\u024f]*").fullmatch
@@ -74,6 +79,9 @@ class Encoder:
         before = parts.get("pre_tokenizer") or {}
         added = [x["content"] for x in parts.get("added_tokens") or ()]
         self.added = re.compile("|".join(map(re.escape, added))).search if added else lambda _: None
+        vocabulary = self.model.get_vocab()
+        self.leads = np.zeros(max(vocabulary.values(), default=0) + 1, bool)  # tokens whose first byte is a space
+        self.leads[[i for t, i in vocabulary.items() if t[:1] == "\u0120" and t not in added]] = True
         self.by_stretch = (
             not any(parts.get(x) for x in ("normalizer", "truncation", "padding"))
             and before.get("type") == "ByteLevel" and before.get("use_regex", True)
@@ -86,11 +94,36 @@ class Encoder:
         coded = self.model.encode_batch_fast(texts, add_special_tokens=False)
         return [struct.pack(f"<{len(c)}I", *c.ids) for c in coded]
 
+    def _joined(self, stretches: list[str]) -> list[bytes]:
+        """Ids of stretches, each after one space."""
+        loose = [s for s in stretches if " " in s or s != s.strip() or not s]
+        if loose:  # white space at an end or two spaces
+            known = dict(zip(loose, self._by_library([" " + s for s in loose])))
+            tight = [s for s in stretches if s not in known]
+            known.update(zip(tight, self._joined(tight)))
+            return [known[s] for s in stretches]
+        out = []
+        for i in range(0, len(stretches), JOINED):
+            some = stretches[i : i + JOINED]
+            ids = np.array(self.model.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            at = np.flatnonzero(self.leads[ids])
+            if len(at) == len(some):  # a stretch has one space, so each begins at one of these
+                plain, edges = ids.tobytes(), [*(4 * at).tolist(), 4 * len(ids)]
+                out += [plain[a:b] for a, b in zip(edges, edges[1:])]
+            else:  # a vocabulary without some bytes
+                out += self._by_library([" " + s for s in some])
+        return out
+
     def _tokens(self, tokens: Iterable[str], spaced: bool) -> dict[str, bytes]:
         """What is remembered of pre-tokens, by what follows their space if ``spaced``, with the new ``tokens``."""
-        known = self.after if spaced else self.plain
+        known, lead, merge, shown = self.after if spaced else self.plain, "\u0120" * spaced, self.merge, self.shown
         new = [t for t in dict.fromkeys(tokens) if t not in known]
-        known.update(zip(new, self._by_library([" " + t for t in new] if spaced else new)))
+        codes = [
+            [x.id for x in merge(lead + (t if t.isascii() and t.isalpha() else t.encode().decode("latin-1").translate(shown)))]
+            for t in new]
+        edges = np.cumsum([0, *map(len, codes)]) * 4
+        plain, edges = np.array(list(chain.from_iterable(codes)), "<u4").tobytes(), edges.tolist()
+        known.update(zip(new, [plain[a:b] for a, b in zip(edges, edges[1:])]))
         return known
 
     def _stretches(self, stretches: list[str], spaced: bool) -> list[bytes]:
@@ -100,24 +133,29 @@ class Encoder:
             kept = {s: known[s] for s in stretches if s in known}
             known.clear()
             known.update(kept)
-        whole, marked, mixed = [], [], []
-        for s in stretches:
-            if s not in known:
-                if s.isalpha():
-                    whole.append(s)
-                elif s and s[-1] in MARKS and s[:-1].isalpha() and self.latin(s):
-                    marked.append(s)  # a word and its mark
-                else:
-                    (mixed if self.latin(s) and not self.added(s) else whole).append(s)
-        known.update(zip(whole, self._by_library([lead + s for s in whole])))
+        words, marked, mixed, whole = [], [], [], []
+        out = list(map(known.get, stretches))
+        gaps = [i for i, code in enumerate(out) if code is None]
+        new = dict.fromkeys([stretches[i] for i in gaps])
+        for s in new:
+            if not (s.isascii() or self.latin(s)):
+                whole.append(s)
+            elif s.isalpha():
+                words.append(s)
+            elif s and s[-1] in MARKS and s[:-1].isalpha():
+                marked.append(s)  # a word and its mark
+            else:
+                (whole if self.added(s) or not self.latin(s) else mixed).append(s)
+        known.update(zip(whole, self._joined(whole) if spaced else self._by_library(whole)))
         parts = [self.find(lead + s) for s in mixed]
         after = self._tokens((t[1:] for ts in parts for t in ts if t[0] == " "), True).__getitem__
         plain = self._tokens((t for ts in parts for t in ts if t[0] != " "), False).__getitem__
         known.update(zip(mixed, [b"".join([after(t[1:]) if t[0] == " " else plain(t) for t in ts]) for ts in parts]))
-        own, marks = self._tokens([s[:-1] for s in marked], spaced), self._tokens(MARKS, False)
+        own, marks = self._tokens([*words, *[s[:-1] for s in marked]], spaced), self._tokens(MARKS, False)
         known.update([(s, own[s[:-1]] + marks[s[-1]]) for s in marked])
-        out = list(map(known.__getitem__, stretches))
-        for s in stretches:
+        for i in gaps:
+            out[i] = known[stretches[i]]
+        for s in new:
             if len(s) > 64:
                 known.pop(s, None)
         return out
@@ -142,26 +180,14 @@ class Encoder:
         fine = pc.and_(pc.equal(found, pc.utf8_trim_whitespace(found)), pc.greater(pc.binary_length(found), 0))
         odd = ~fine.to_numpy(zero_copy_only=False)
         other = np.flatnonzero(np.add.reduceat(odd[which], bounds[:-1]))
-        found = pc.if_else(fine, found, "x").to_pylist()
+        found = pc.if_else(fine, found, "x").to_numpy(zero_copy_only=False).tolist()
         heads = [found[i] for i in which[bounds[:-1]].tolist()]
         place = {h: i for i, h in enumerate(dict.fromkeys(heads), len(found))}
         which[bounds[:-1]] = [place[h] for h in heads]
         codes = self._stretches(found, True) + self._stretches(list(place), False)
-        size = np.fromiter(map(len, codes), np.int32, len(codes)) // 4
-        ids = np.frombuffer(b"".join(codes), "<u4")
-        del codes, found, heads
-        begin, out = np.cumsum(size) - size, []
-        steps = np.searchsorted(bounds, np.arange(0, bounds[-1], GATHERED))
-        steps = np.unique(np.minimum(steps, len(bounds) - 1))
-        for lo, hi in zip(steps, [*steps[1:], len(bounds) - 1]):  # some texts at a time
-            some = which[bounds[lo] : bounds[hi]]
-            n = size[some]
-            done = np.cumsum(n, dtype=np.int64)
-            if not len(done):
-                continue
-            plain = ids[np.repeat(begin[some] - done + n, n) + np.arange(done[-1])].tobytes()
-            edges = (4 * np.r_[0, done][bounds[lo : hi + 1] - bounds[lo]]).tolist()
-            out += [plain[a:b] for a, b in zip(edges, edges[1:])]
+        out = []
+        for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            out.append(b"".join([codes[i] for i in which[lo:hi].tolist()]))
         for i in other.tolist():
             head, *rest = self.cut(texts[i].as_py())
             out[i] = b"".join(self._stretches([head], False) + self._stretches(rest, True))
