@@ -19,8 +19,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-#: Distinct stretches between spaces whose ids a worker remembers, before a batch.
-CACHE_SIZE = 500_000
+#: Distinct stretches between spaces whose ids a worker remembers, before some texts, and
+#: bytes of text that are encoded at once. A worker holds some hundred bytes for each of either.
+CACHE_SIZE, FEW_BYTES = 100_000, 1_000_000
 
 
 def byte_characters() -> list[str]:
@@ -210,7 +211,7 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(pieces, model, pattern)
         for batch in batches:
-            for part in pieces_of(batch):
+            for part in pieces_of(batch, size=FEW_BYTES):
                 codes = coder.encode([t or "" for t in part.column(1).to_pylist()])
                 columns = [part.column(0), pa.array([len(c) // 4 for c in codes], pa.int64())]
                 if keep_ids:
@@ -219,5 +220,7 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id
                 columns.append(pa.array([hashlib.sha256(coder.decode(c)).hexdigest() for c in codes], pa.string()))
                 names = [id_col, "n_tokens", *["ids"] * keep_ids, "ids_sha256", "decoded_sha256"]
                 yield pa.RecordBatch.from_arrays(columns, names)
+            pa.default_memory_pool().release_unused()
+        coder.stretches.clear()  # the worker stays, beside those of later jobs
 
     return docs.select(id_col, text_col).mapInArrow(run, schema)
