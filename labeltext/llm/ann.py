@@ -8,7 +8,6 @@ divided by ``factor``, shows that it holds nothing nearer. Factor one is exact.
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +21,7 @@ from labeltext.session import materialize
 #: Vectors in a tree, in a leaf, and queries in a block.
 SHARD_ROWS = 16_384
 LEAF_ROWS = 256
-BLOCK_ROWS = 256
+BLOCK_ROWS = 2_048
 
 
 def build(ids: np.ndarray, vectors: np.ndarray, leaf: int = LEAF_ROWS) -> dict:
@@ -122,42 +121,47 @@ def _valid(vector: Column) -> Column:
     return F.coalesce(fine & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def _packed(rows: DataFrame, size: int, pack) -> DataFrame:
-    """One row ``(key, data)`` per ``size`` rows ``(id, vector)`` of the same dimension."""
+def _searched(k: int, factor: float, size: int):
+    """A function for ``mapInArrow`` over rows ``(bucket, kind, id, vector)``, in order of the first two.
+
+    Vectors (kind 0) of a bucket become trees of ``size`` at most; its queries (kind 1) come
+    after them and are searched a block at a time, so a task holds one bucket.
+    """
+    block = BLOCK_ROWS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
-
-        def ready(dim: int, least: int):
-            ids = np.concatenate([x for x, _ in held[dim]])
-            vectors = np.concatenate([x for _, x in held[dim]])
-            done = 0
-            while len(ids) - done >= least and done < len(ids):
-                part = slice(done, done + size)
-                data = pickle.dumps(pack(ids[part], vectors[part]), protocol=5)
-                key = int(np.bitwise_xor.reduce(ids[part] * 31 + 7)) & 0x7FFFFFFF
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([key], pa.int64()), pa.array([dim], pa.int32()), pa.array([data], pa.binary())],
-                    ["key", "dim", "data"])
-                done += size
-            held[dim] = [(ids[done:], vectors[done:])]
+        at, held, trees = None, {}, {}
+
+        def grown(dim: int) -> list[dict]:
+            if dim in held:
+                ids, vectors = (np.concatenate(x) for x in zip(*held.pop(dim)))
+                trees[dim] = [build(ids[lo : lo + size], vectors[lo : lo + size]) for lo in range(0, len(ids), size)]
+            return trees.get(dim, [])
 
         for batch in batches:
-            ids, lists = batch.column(0), batch.column(1)
-            sizes = np.diff(lists.offsets.to_numpy())
-            flat = lists.values.to_numpy(zero_copy_only=False)
-            start = lists.offsets.to_numpy()[:-1]
-            ids = ids.to_numpy(zero_copy_only=False)
-            for dim in np.unique(sizes):
-                rows = np.flatnonzero(sizes == dim)
-                vectors = flat[start[rows][:, None] + np.arange(dim)]
-                held.setdefault(int(dim), []).append((ids[rows], vectors))
-                if sum(len(x) for x, _ in held[int(dim)]) >= size:
-                    yield from ready(int(dim), size)
-        for dim in list(held):
-            yield from ready(dim, 1)
-
-    return rows.mapInArrow(run, "key bigint, dim int, data binary")
+            bucket, kind, ids = (batch.column(i).to_numpy() for i in range(3))
+            turns = np.flatnonzero((np.diff(bucket) != 0) | (np.diff(kind) != 0)) + 1
+            for begin, stop in zip([0, *turns], [*turns, batch.num_rows]):
+                if begin == stop:
+                    continue
+                if bucket[begin] != at:
+                    at, held, trees = bucket[begin], {}, {}
+                part = batch.column(3).slice(begin, stop - begin)
+                sizes = np.diff(part.offsets.to_numpy())
+                flat, start = part.flatten().to_numpy(), np.r_[0, np.cumsum(sizes)[:-1]]
+                for dim in np.unique(sizes).tolist():
+                    rows = np.flatnonzero(sizes == dim)
+                    vectors, own = flat[start[rows][:, None] + np.arange(dim)], ids[begin:stop][rows]
+                    if kind[begin] == 0:
+                        held.setdefault(dim, []).append((own, vectors))
+                        continue
+                    for tree in grown(dim):
+                        for lo in range(0, len(own), block):
+                            q, near, score = search(tree, own[lo : lo + block], vectors[lo : lo + block], k, factor)
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array(own[lo : lo + block][q]), pa.array(near), pa.array(score)], ["query_id", "vec_id", "score"])
+
+    return run
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int, factor: float = 1.0, id_col: str = "vec_id",
@@ -171,37 +175,26 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, factor: float = 1.0,
     that repeats is searched once, with its smallest vector. Fewer than ``k``
     candidates give fewer rows, no queries none.
 
-    Trees are built where the rows lie, over at most ``shard_rows`` each, and
-    written once; every query block meets every tree through a join on a
-    number of buckets, so tasks see one tree and one block at a time.
+    Vectors are written once and dealt evenly into buckets of about ``shard_rows``,
+    a tree each; the queries go to every bucket, behind its vectors. All travel as
+    rows of one vector, so what a batch or a task holds does not grow with the tables.
     """
     def clean(df: DataFrame) -> DataFrame:
         vector = F.col(vector_col).cast("array<double>")
         return df.select(F.col(id_col).cast("bigint").alias("id"), vector.alias("vector")).where(
             F.col("id").isNotNull() & _valid(F.col("vector")))
 
-    trees = materialize(_packed(clean(vectors), shard_rows, build), "vp-trees")
-    buckets = max(1, trees.count())
-    trees = trees.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int"))
+    # numbered as the written files are read, so the same row gets the same bucket again
+    written = materialize(clean(vectors), "vectors")
+    buckets = max(1, -(-written.count() // shard_rows))
+    row = F.monotonically_increasing_id()
+    dealt = written.select(F.pmod(row, F.lit(buckets)).cast("int").alias("bucket"), F.lit(0).alias("kind"), "id", "vector")
     asked = clean(queries).groupBy("id").agg(F.min("vector").alias("vector"))
-    blocks = _packed(asked, BLOCK_ROWS, lambda ids, rows: (ids, rows))
-    blocks = blocks.withColumn("bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    pairs = trees.select("bucket", "dim", F.col("data").alias("tree")).join(
-        blocks.select("bucket", "dim", "data"), ["bucket", "dim"]).select("tree", "data")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, tree = None, None
-        for batch in batches:
-            for packed, block in zip(batch.column(0), batch.column(1)):
-                packed = packed.as_buffer()
-                if last is None or not packed.equals(last):
-                    last, tree = packed, pickle.loads(packed)
-                ids, rows = pickle.loads(block.as_buffer())
-                q, found, score = search(tree, ids, rows, k, factor)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[q]), pa.array(found), pa.array(score)], ["query_id", "vec_id", "score"])
-
-    hits = pairs.mapInArrow(run, "query_id bigint, vec_id bigint, score double")
+    everywhere = F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bucket")
+    both = dealt.unionByName(asked.select(everywhere, F.lit(1).alias("kind"), "id", "vector"))
+    placed = both.repartition(2 * buckets, "bucket").sortWithinPartitions("bucket", "kind")
+    run = _searched(k, factor, 2 * shard_rows)
+    hits = placed.mapInArrow(run, "query_id bigint, vec_id bigint, score double")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -153,6 +153,18 @@ def test_search_odd_vectors(spark):
     assert ann.nearest(df, df.where("false"), 3).collect() == []
 
 
+def test_no_row_holds_a_tree(spark):
+    """What goes to a worker, or through a join, is one vector a row, however many vectors there are."""
+    r = np.random.default_rng(2)
+    rows = [(i, v) for i, v in enumerate(r.normal(size=(300, 4)).tolist())] + [(7, [9.0] * 4), (7, [9.0] * 4)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    asked = df.where("vec_id % 10 = 3")
+    out = ann.nearest(df, asked, 5, shard_rows=20)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "binary" not in out._jdf.queryExecution().toString()
+    assert found(out) == brute_nearest(rows, lambda i: i % 10 == 3, 5)
+
+
 def test_relaxed_pruning(spark):
     """A larger factor looks at less and still finds at least nine in ten."""
     r = np.random.default_rng(5)
