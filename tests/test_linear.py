@@ -1,5 +1,7 @@
 """Logistic regression on tables of cells against MLlib and plain numpy."""
 
+import os
+
 import numpy as np
 import pytest
 from pyspark.ml.classification import LogisticRegression
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 
 from labeltext.operators import classify as cl
 from labeltext.operators import evaluate, linear, scoring
+from labeltext.session import shared_dir
 from registry.inputs import by_language
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -108,3 +111,12 @@ def test_many_blocks_change_nothing(spark, data, monkeypatch):
     monkeypatch.setattr(linear, "BLOCK_CELLS", 512)
     cut = linear.fit_terms(data.cells, data.train, len(data.classes), 0.01, max_iter=4)
     assert np.allclose(cut.history, plain.history, rtol=1e-9) and np.allclose(cut.intercepts, plain.intercepts)
+
+
+def test_old_states_are_removed(spark):
+    cells = spark.createDataFrame([(i, f"t{(i * j) % 5}", 1.0 + i % 3) for i in range(20) for j in (1, 2)], "doc_id bigint, term string, weight double")
+    rows = spark.createDataFrame([(i, float(i % 2), 1.0) for i in range(20)], "doc_id bigint, label double, weight double")
+    before = set(os.listdir(shared_dir(spark)))
+    model = linear.fit_terms(cells.groupBy("doc_id", "term").agg(F.sum("weight").alias("weight")), rows, 2, 0.1, max_iter=3)
+    assert len(model.history) > 2
+    assert not any(name.startswith("state-") for name in set(os.listdir(shared_dir(spark))) - before)
